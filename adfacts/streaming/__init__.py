@@ -1,0 +1,6 @@
+"""No streaming operator exists here: the work is batch.
+
+The row-wise steps (``adfacts.sources.normalise``, ``adfacts.operators.validation.validate``,
+calendar parts and ratios) hold no state and also accept a streaming DataFrame.
+The lag and rolling windows count rows of a whole campaign history and do not.
+"""
