@@ -5,17 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+CALENDAR_COLUMNS = [
+    "day_of_week",
+    "day_name",
+    "month",
+    "month_name",
+    "quarter",
+    "week_of_year",
+    "day_of_month",
+    "day_of_year",
+    "is_weekend",
+]
+
 
 def calendar_columns(date: Column) -> dict[str, Column]:
     weekday = F.weekday(date)  # Monday is 0
-    return {
-        "day_of_week": weekday.cast("bigint"),
-        "day_name": F.date_format(date, "EEEE"),
-        "month": F.month(date).cast("bigint"),
-        "month_name": F.date_format(date, "MMMM"),
-        "quarter": F.quarter(date).cast("bigint"),
-        "week_of_year": F.weekofyear(date).cast("bigint"),
-        "day_of_month": F.dayofmonth(date).cast("bigint"),
-        "day_of_year": F.dayofyear(date).cast("bigint"),
-        "is_weekend": weekday.isin(5, 6).cast("bigint"),
-    }
+    values = [
+        weekday.cast("bigint"),
+        F.date_format(date, "EEEE"),
+        F.month(date).cast("bigint"),
+        F.date_format(date, "MMMM"),
+        F.quarter(date).cast("bigint"),
+        F.weekofyear(date).cast("bigint"),  # ISO 8601
+        F.dayofmonth(date).cast("bigint"),
+        F.dayofyear(date).cast("bigint"),
+        weekday.isin(5, 6).cast("bigint"),
+    ]
+    return dict(zip(CALENDAR_COLUMNS, values, strict=True))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +41,9 @@ def _value_at(
     values: DataFrame, rank: int, count: int, low: float, high: float, bins: int, final_rows: int
 ) -> float:
     while low < high and count > final_rows:
-        width = (high - low) / bins
         counted = (
             values.where(F.col("v").between(low, high))
-            .groupBy(_bin(low, width, bins).alias("bin"))
+            .groupBy(_bin(low, high, bins).alias("bin"))
             .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
             .orderBy("bin")
             .collect()
@@ -58,7 +59,11 @@ def _value_at(
     return inside.agg(F.array_sort(F.collect_list("v")).getItem(rank)).first()[0]
 
 
-def _bin(low: float, width: float, bins: int) -> Column:
-    if width == 0.0:  # the range is too narrow to divide: each value is its own bin
+def _bin(low: float, high: float, bins: int) -> Column:
+    """Bin number, rising with the value; the smallest and the largest never share one."""
+    width = (high - low) / bins
+    if width == 0.0:  # too narrow to divide: each value is its own bin
         return F.col("v")
+    if math.isinf(width):  # too wide to subtract
+        return (F.col("v") >= 0).cast("bigint")
     return F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(bins - 1))

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adfacts.operators.evaluation import EvaluationReport, evaluate
 from adfacts.operators.features import feature_table
@@ -73,7 +74,9 @@ def run_training(
         config.random_state,
         model_path=config.model_path if save else None,
     )
-    scored = _written(forecast.score(training.model, matrix), "scored")
+    scored = _written(
+        forecast.score(training.model, matrix, (forecast.LABEL, forecast.IS_VALIDATION)), "scored"
+    )
     importance = None
     if hasattr(training.model.stages[-1], "featureImportances"):
         importance = forecast.feature_importance(spark, training.model)
@@ -83,15 +86,28 @@ def run_training(
 
 def write_predictions(predictions: DataFrame, output: str, file_format: str = "parquet") -> None:
     """A folder of part files. CSV gets a header and plain days where there is no time."""
-    if file_format == "csv" and "date" in predictions.columns:
-        date = F.col("date").cast("timestamp_ntz")
-        midnight = date == date.cast("date").cast("timestamp_ntz")
-        text = F.when(midnight, F.date_format(date, "yyyy-MM-dd")).otherwise(
-            F.date_format(date, "yyyy-MM-dd HH:mm:ss")
-        )
-        predictions = predictions.withColumn("date", text)
     writer = predictions.write.mode("overwrite").format(file_format)
-    (writer.option("header", True) if file_format == "csv" else writer).save(output)
+    if file_format == "csv":
+        if "date" in predictions.columns:
+            date = F.col("date").cast("timestamp_ntz")
+            midnight = date == date.cast("date").cast("timestamp_ntz")
+            text = F.when(midnight, F.date_format(date, "yyyy-MM-dd")).otherwise(
+                F.date_format(date, "yyyy-MM-dd HH:mm:ss")
+            )
+            writer = predictions.withColumn("date", text).write.mode("overwrite").format("csv")
+        writer = writer.option("header", True).option("escape", '"')
+    writer.save(output)
+
+
+def read_predictions(
+    spark: SparkSession, output: str, schema: T.StructType, file_format: str = "parquet"
+) -> DataFrame:
+    reader = spark.read.schema(schema).format(file_format)
+    if file_format == "csv":
+        reader = reader.options(
+            header=True, escape='"', timestampNTZFormat="yyyy-MM-dd[ HH:mm:ss]"
+        )
+    return reader.load(output)
 
 
 def run_scoring(
@@ -102,24 +118,25 @@ def run_scoring(
     file_format: str = "parquet",
     policy: SkewPolicy = SkewPolicy(),
 ) -> DataFrame:
-    """Score the exports and write predictions, ``insights`` and ``summary`` under ``output``.
+    """Score the exports; write predictions to ``output``, two reports next to it.
 
-    The reports read the written predictions, so the model runs once per row.
+    ``insights`` and ``summary`` go to the parent folder. They read the written
+    predictions, so the model runs once per row.
     """
     started = time.monotonic()
     if isinstance(model, str):
         model = forecast.load_model(spark, model)
     unified = _written(ingest(spark, paths), "unified")
-    features = feature_table(unified, policy)
-    predictions = _written(forecast.score(model, features), "predictions")
+    scored = forecast.score(model, feature_table(unified, policy))
+    write_predictions(scored, output, file_format)
+    predictions = read_predictions(spark, output, scored.schema, file_format)
     if predictions.isEmpty():
         raise ValueError("nothing to score: no valid row in the exports")
-    root = output.rstrip("/")
-    write_predictions(predictions, f"{root}/predictions", file_format)
+    parent = output.rstrip("/").rpartition("/")[0] or "."
     elapsed = time.monotonic() - started
-    report.write_lines(report.insights_report(predictions, elapsed), f"{root}/insights")
+    report.write_lines(report.insights_report(predictions, elapsed), f"{parent}/insights")
     report.write_document(
-        report.summary_json(predictions, elapsed_seconds=elapsed), f"{root}/summary"
+        report.summary_json(predictions, elapsed_seconds=elapsed), f"{parent}/summary"
     )
     return predictions
 

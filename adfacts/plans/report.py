@@ -29,9 +29,8 @@ def _pad_right(text: Column, width: int) -> Column:
 def _overview(df: DataFrame) -> DataFrame:
     """One row of everything the fixed lines need."""
     platforms = platform_summary(df)
-    best = F.max_by("platform", F.struct(F.col("total_revenue"), _reversed("platform")))
-    worst = F.max_by("platform", F.struct(-F.col("total_revenue"), F.col("platform")))
-    ranked = platforms.agg(best.alias("best"), worst.alias("worst"))
+    best = platforms.orderBy(F.desc("total_revenue"), "platform").limit(1)
+    worst = platforms.orderBy("total_revenue", F.desc("platform")).limit(1)
     top = top_campaigns(df, 1)
     return df.agg(
         date_range_label(F.min("date"), F.max("date")).alias("date_range"),
@@ -41,17 +40,12 @@ def _overview(df: DataFrame) -> DataFrame:
         "date_range",
         "total",
         "mean",
-        ranked.select("best").scalar().alias("best"),
-        ranked.select("worst").scalar().alias("worst"),
+        best.select("platform").scalar().alias("best"),
+        worst.select("platform").scalar().alias("worst"),
         top.select("campaign_name").scalar().alias("top_campaign"),
     )
 
 
-def _reversed(name: str) -> Column:
-    """Sort key that puts the alphabetically first text last."""
-    return F.transform(F.split(F.col(name), ""), lambda ch: -F.ascii(ch))
-
-
 def insights_report(df: DataFrame, elapsed_seconds: float | None = None) -> DataFrame:
     """The report as (line_no, line).
 

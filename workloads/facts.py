@@ -232,3 +232,35 @@ def export_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
             ).option("ignoreTrailingWhiteSpace", False).csv(paths[platform])
         _written[key] = paths
     return _written[key]
+
+
+def dirty_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed canonical rows that break the validation rules, one per ``lineitem`` row."""
+    line = table(spark, sf_dir, "lineitem").withColumn(
+        "k", F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    )
+    k = F.col("k")
+
+    def lost(value: Column, modulus: int) -> Column:
+        return F.when(k % modulus != 0, value)
+
+    def turned(value: Column, modulus: int) -> Column:
+        return F.when(k % modulus == 0, -value).otherwise(value)
+
+    rows = line.select(
+        lost(F.to_date("l_shipdate"), 17).alias("date"),
+        _platform_of_flag().alias("platform"),
+        F.concat(F.lit("Campaign "), (F.col("l_partkey") % 100).cast("string")).alias("name"),
+        lost(turned(F.round("l_extendedprice").cast("bigint"), 23) / 100.0, 19).alias("spend"),
+        lost(F.round("l_extendedprice").cast("bigint") / 10.0, 13).alias("revenue"),
+        lost(turned(F.col("l_linenumber") + 0.5, 29), 31).alias("conversions"),
+        lost(turned(F.col("l_orderkey") % 97, 37), 41).alias("clicks"),
+        lost(turned(F.col("l_quantity").cast("bigint") * 100, 43), 47).alias("impressions"),
+        (k % 53 == 0).alias("unnamed"),
+    )
+    named = rows.withColumn("campaign_name", F.col("name")).withColumn(
+        "campaign_id", _campaign_id()
+    )
+    return _canonical(
+        named.withColumn("campaign_name", F.when(~F.col("unnamed"), F.col("name")))
+    )
