@@ -56,24 +56,24 @@ WHITESPACE = "".join(
 # Date texts that are not ISO 8601: a shape test, then the patterns to try in
 # order. The shape test keeps the parser from failing its way down the list.
 # Month comes first; a day above 12 in first place is read day first.
+YEAR = r"(1[7-9]\d\d|2[01]\d\d)"  # years beyond 1700 to 2199 count as malformed
 DATE_PATTERNS: list[tuple[str, list[str]]] = [
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", ["M/d/yyyy", "d/M/yyyy"]),
+    (rf"^\d{{1,2}}/\d{{1,2}}/{YEAR}$", ["M/d/yyyy", "d/M/yyyy"]),
     (r"^\d{1,2}/\d{1,2}/\d{2}$", ["M/d/yy", "d/M/yy"]),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", ["M-d-yyyy", "d-M-yyyy"]),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", ["yyyy/M/d"]),
-    (r"^\d{8}$", ["yyyyMMdd"]),
-    (r"^\d{1,2}[- ]\p{L}+[- ]\d{4}$", ["d-MMM-yyyy", "d MMM yyyy", "d-MMMM-yyyy", "d MMMM yyyy"]),
+    (rf"^\d{{1,2}}-\d{{1,2}}-{YEAR}$", ["M-d-yyyy", "d-M-yyyy"]),
+    (rf"^{YEAR}/\d{{1,2}}/\d{{1,2}}$", ["yyyy/M/d"]),
+    (rf"^{YEAR}\d{{4}}$", ["yyyyMMdd"]),
+    (rf"^\d{{1,2}}-\p{{L}}+-{YEAR}$", ["d-MMM-yyyy", "d-MMMM-yyyy"]),
+    (rf"^\d{{1,2}} \p{{L}}+ {YEAR}$", ["d MMM yyyy", "d MMMM yyyy"]),
     (r"^\d{1,2}-\p{L}+-\d{2}$", ["d-MMM-yy"]),
-    (r"^\p{L}+ \d{1,2}, \d{4}$", ["MMM d, yyyy", "MMMM d, yyyy"]),
+    (rf"^\p{{L}}+ \d{{1,2}}, {YEAR}$", ["MMM d, yyyy", "MMMM d, yyyy"]),
 ]
-ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
-ISO_DATE_TIME = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}:\d{2}(\.\d{1,9})?$"
+ISO_DATE = rf"^{YEAR}-\d{{1,2}}-\d{{1,2}}$"
+ISO_DATE_TIME = rf"^{YEAR}-\d{{1,2}}-\d{{1,2}}[ T]\d{{1,2}}:\d{{2}}:\d{{2}}(\.\d{{1,9}})?$"
 
-# Dates outside the range of a 64-bit nanosecond clock count as malformed.
-MIN_DATE = "1677-09-22 00:00:00"
-MAX_DATE = "2262-04-11 00:00:00"
-
-LARGEST_DOUBLE = 1.7976931348623157e308
+# A plain decimal number of less than 10^299. Anything else is malformed: 12d, 0x1A,
+# inf and NaN, which Spark's own cast would let through, and what would overflow.
+NUMBER = r"^\s*[+-]?(\d{1,200}(\.\d*)?|\.\d+)([eE][+-]?\d{1,2})?\s*$"
 
 
 def null_tokens(text: Column) -> Column:
@@ -89,9 +89,7 @@ def strip_commas(text: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    """Decimal text to double. ``12d``, ``0x1A``, ``inf`` and ``NaN`` are malformed."""
-    number = F.when(text.rlike(r"^[0-9eE+.\-\s]+$"), text.try_cast("double"))
-    return F.when(number.between(-LARGEST_DOUBLE, LARGEST_DOUBLE), number)
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def to_count(text: Column) -> Column:
@@ -107,8 +105,7 @@ def to_date_time(text: Column, extra_patterns: Sequence[tuple[str, list[str]]] =
     for shape, patterns in [*DATE_PATTERNS, *extra_patterns]:
         tries = [F.try_to_date(text, pattern) for pattern in patterns]
         parsed = parsed.when(text.rlike(shape), F.coalesce(*tries).cast("timestamp_ntz"))
-    low, high = (F.lit(bound).cast("timestamp_ntz") for bound in (MIN_DATE, MAX_DATE))
-    return F.when(parsed.between(low, high), parsed)
+    return parsed
 
 
 def campaign_id(platform: str, name: Column) -> Column:

@@ -132,6 +132,17 @@ def load_source(
     return normalise(read_export(spark, paths, spec.required, multi_line), spec)
 
 
+def _parsed_once(df: DataFrame) -> DataFrame:
+    """Keep later filters above the projection that parses text.
+
+    Spark moves a filter below a projection by repeating the projected expressions in
+    it, which would parse every date and number twice. It leaves alone a projection
+    that holds a task-dependent value.
+    """
+    task = "_task"
+    return df.withColumn(task, F.spark_partition_id()).where(F.col(task) >= 0).drop(task)
+
+
 def ingest(
     spark: SparkSession,
     paths: Mapping[str, Paths | None],
@@ -149,7 +160,7 @@ def ingest(
     if unknown:
         raise ValueError(f"unknown platforms {unknown}; known: {sorted(sources)}")
     parts = [
-        validate(load_source(spark, path, sources[platform], multi_line))
+        validate(_parsed_once(load_source(spark, path, sources[platform], multi_line)))
         for platform, path in given.items()
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -149,7 +149,7 @@ def _rolling() -> str:
             over = f"OVER ({SERIES} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
             value = f"CAST({m} AS DOUBLE)"
             parts += [
-                f"round(avg({value}) {over}, 4) AS {m}_rolling_mean_{n}",
+                f"round(avg({value}) {over}, 6) AS {m}_rolling_mean_{n}",
                 f"round(coalesce(stddev_samp({value}) {over}, 0), 4) AS {m}_rolling_std_{n}",
                 f"min({value}) {over} AS {m}_rolling_min_{n}",
                 f"max({value}) {over} AS {m}_rolling_max_{n}",

@@ -29,7 +29,7 @@ DAILY = SkewPolicy(unique_grain=True)
 CUT_EARLY = SkewPolicy(max_series_rows=1_000, piece_rows=2_000)
 
 ROLLING = {
-    f"{metric}_rolling_{kind}_{rows}": 4
+    f"{metric}_rolling_{kind}_{rows}": 6 if kind == "mean" else 4
     for metric in features.HISTORY_METRICS
     for kind in ("mean", "std")
     for rows in features.ROLLING_ROWS
