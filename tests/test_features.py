@@ -1,0 +1,236 @@
+from __future__ import annotations
+
+import datetime
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from adfacts.functions.calendar import CALENDAR_COLUMNS
+from adfacts.operators import features
+from adfacts.operators.series import SkewPolicy
+from adfacts.schema import CANONICAL_COLUMNS
+from tests.conftest import canonical, generated, sorted_rows
+
+UNIQUE = SkewPolicy(unique_grain=True)
+START = datetime.datetime(2024, 1, 1)
+
+
+def random_facts(spark, seed=1, rows=400, copies=0, ties=True):
+    """Irregular histories: gaps, missing revenue, several rows per day, equal rows."""
+    rng = random.Random(seed)
+    out = []
+    for n in range(rows):
+        campaign = "hot" if rng.random() < 0.4 else f"c{rng.randrange(5)}"
+        day = rng.randrange(60) if ties else n
+        out.append(
+            (
+                START + datetime.timedelta(days=day), rng.choice(["google_ads", "meta_ads"]),
+                campaign, campaign, float(rng.randrange(0, 500)),
+                None if rng.random() < 0.2 else float(rng.randrange(900)),
+                float(rng.randrange(9)), rng.randrange(100), rng.randrange(3) * 500,
+            )
+        )
+    out += [out[0]] * copies
+    return canonical(spark, out)
+
+
+def brute_force(df: pd.DataFrame) -> pd.DataFrame:
+    """History columns by the plain definition, one row at a time."""
+    df = df.sort_values(
+        ["platform", "campaign_id", "date", "campaign_name", "spend", "revenue", "conversions",
+         "clicks", "impressions"],
+        na_position="first",
+    ).reset_index(drop=True)
+    out = []
+    for _, series in df.groupby(["platform", "campaign_id"], sort=False):
+        for i in range(len(series)):
+            record = dict(series.iloc[i])
+            for metric in features.HISTORY_METRICS:
+                past = series[metric].astype(float).iloc[:i]
+                for n in features.LAGS:
+                    record[f"{metric}_lag_{n}"] = past.iloc[-n] if i >= n else None
+                for n in features.ROLLING_ROWS:
+                    seen = past.iloc[-n:].dropna()
+                    name = f"{metric}_rolling_%s_{n}"
+                    record[name % "mean"] = seen.mean() if len(seen) else None
+                    record[name % "std"] = seen.std() if len(seen) > 1 else 0.0
+                    record[name % "min"] = seen.min() if len(seen) else None
+                    record[name % "max"] = seen.max() if len(seen) else None
+            out.append(record)
+    return pd.DataFrame(out)
+
+
+def comparable(df: pd.DataFrame) -> list[tuple]:
+    def value(v):
+        if pd.isna(v):
+            return None
+        return round(v, 6) if isinstance(v, float) else v
+
+    return sorted((tuple(value(v) for v in r) for r in df.itertuples(index=False)), key=repr)
+
+
+def history(spark, df, policy=UNIQUE):
+    from adfacts.operators.series import with_history
+
+    return with_history(df, features.history_columns, 14, policy)
+
+
+def test_history_agrees_with_the_plain_definition(spark):
+    df = random_facts(spark, rows=250)
+    expected = brute_force(df.toPandas())
+    got = history(spark, df).toPandas()[list(expected.columns)]
+    assert comparable(got) == comparable(expected)
+
+
+@pytest.mark.parametrize(
+    ("limit", "piece", "copies", "ties"),
+    [(50, 20, 0, True), (10, 5, 40, True), (30, 1000, 200, True), (20, 3, 0, False)],
+)
+def test_cutting_long_histories_changes_nothing(spark, limit, piece, copies, ties):
+    df = random_facts(spark, seed=limit, copies=copies, ties=ties)
+    whole = history(spark, df)
+    cut = history(spark, df, SkewPolicy(max_series_rows=limit, piece_rows=piece))
+    assert comparable(cut.toPandas()) == comparable(whole.toPandas())
+
+
+def test_long_histories_spread_over_tasks(spark):
+    df = random_facts(spark, rows=2000, copies=1000)
+    cut = history(spark, df, SkewPolicy(max_series_rows=100, piece_rows=50))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        sizes = [r["n"] for r in cut.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(sizes) == 3000
+    assert max(sizes) < 1000  # the copies alone are 1000 rows of one campaign
+
+
+def test_keys_may_be_null(spark):
+    df = random_facts(spark).withColumn(
+        "campaign_id", F.when(F.col("campaign_id") != "hot", F.col("campaign_id"))
+    )
+    cut = history(spark, df, SkewPolicy(max_series_rows=50, piece_rows=20))
+    assert comparable(cut.toPandas()) == comparable(history(spark, df).toPandas())
+
+
+def test_feature_table_shape_and_order(spark):
+    df = generated(spark)
+    table = features.feature_table(df, UNIQUE)
+    assert len(table.columns) == 65
+    assert table.columns[:9] == CANONICAL_COLUMNS
+    assert table.columns[9:18] == CALENDAR_COLUMNS
+    assert table.columns[18:25] == [
+        "ctr", "cpc", "cpm", "conversion_rate", "roas", "revenue_per_click",
+        "revenue_per_impression",
+    ]
+    assert table.count() == df.count()
+
+
+def test_chain_of_single_steps_gives_the_same_table(spark):
+    df = random_facts(spark)
+    steps = features.marketing_features(features.time_features(df))
+    steps = features.rolling_features(features.lag_features(steps, UNIQUE), UNIQUE)
+    whole = features.feature_table(df, UNIQUE)
+    assert steps.columns == whole.columns
+    assert comparable(steps.toPandas()) == comparable(whole.toPandas())
+
+
+def test_feature_table_plan(spark):
+    plan = features.feature_table(generated(spark), UNIQUE)._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert text.count("Exchange") == 1
+    assert text.count("- Window") == 1
+    assert text.count("Sort [") == 1
+    assert "Python" not in text
+    exchange = plan.optimizedPlan().toString()
+    assert "day_name" not in exchange[exchange.index("Window [") :]  # row-wise columns come after
+
+
+def test_goldens_of_one_campaign(spark, exports):
+    from adfacts.sources import ingest
+
+    table = features.feature_table(ingest(spark, {"google_ads": exports["google_ads"]}))
+    rows = table.where("campaign_name = 'Brand - Search'").orderBy("date").collect()
+    assert [r["spend_lag_1"] for r in rows] == [None, 45.0, 52.0]
+    assert [r["spend_lag_7"] for r in rows] == [None] * 3
+    assert [r["spend_rolling_mean_7"] for r in rows] == [None, 45.0, 48.5]
+    assert [round(r["spend_rolling_std_7"], 9) for r in rows] == [0, 0, 4.949747468]
+    assert [r["spend_rolling_min_7"] for r in rows] == [None, 45.0, 45.0]
+    assert [r["spend_rolling_max_7"] for r in rows] == [None, 45.0, 52.0]
+    first = rows[0]
+    assert round(first["ctr"], 9) == 0.034285714 and first["cpc"] == 0.375
+    assert round(first["cpm"], 9) == 12.857142857 and first["roas"] == 10.0
+    assert round(first["revenue_per_impression"], 9) == 0.128571429
+    assert (first["day_of_week"], first["day_name"], first["month_name"]) == (0, "Monday", "January")
+    assert (first["week_of_year"], first["quarter"], first["day_of_year"]) == (3, 1, 15)
+    idle = table.where("campaign_name = 'Idle'").first()
+    for name in ("ctr", "cpc", "cpm", "conversion_rate", "roas", "revenue_per_click"):
+        assert idle[name] is None
+    assert idle["revenue"] == 0.0
+
+
+@pytest.mark.parametrize(
+    ("day", "week", "weekend"),
+    [((2024, 1, 1), 1, 0), ((2024, 1, 6), 1, 1), ((2024, 12, 30), 1, 0), ((2021, 1, 1), 53, 0)],
+)
+def test_calendar_edges(spark, day, week, weekend):
+    df = spark.createDataFrame([(datetime.datetime(*day),)], "date timestamp_ntz")
+    got = features.time_features(df).first()
+    assert (got["week_of_year"], got["is_weekend"]) == (week, weekend)
+
+
+def test_text_dates_are_read_and_bad_ones_give_nulls(spark):
+    df = spark.createDataFrame([("2024-01-06",), ("bad",)], "date string")
+    good, bad = features.time_features(df).orderBy(F.col("date").desc_nulls_last()).collect()
+    assert good["day_name"] == "Saturday"
+    assert [bad[c] for c in CALENDAR_COLUMNS] == [None] * 9
+
+
+def test_zero_denominators(spark):
+    day = START
+    df = canonical(spark, [(day, "p", "c", "C", 0.0, 5.0, 1.0, 50, 1000)])
+    got = features.marketing_features(df).first()
+    assert got["ctr"] == 0.05
+    assert (got["cpc"], got["cpm"], got["roas"]) == (None, None, None)
+    assert (got["conversion_rate"], got["revenue_per_click"]) == (0.02, 0.1)
+
+
+@pytest.mark.parametrize(
+    ("step", "column"),
+    [
+        (features.time_features, "date"),
+        (features.marketing_features, "revenue"),
+        (features.lag_features, "spend"),
+        (features.rolling_features, "clicks"),
+        (features.feature_table, "impressions"),
+    ],
+)
+def test_missing_columns(spark, step, column):
+    with pytest.raises(ValueError, match=column):
+        step(generated(spark).drop(column))
+
+
+def test_no_leak_between_campaigns_or_from_the_future(spark):
+    df = generated(spark, campaigns=2, days=20)
+    later = df.withColumn(
+        "revenue", F.when(F.col("date") >= "2024-01-15", -1.0).otherwise(F.col("revenue"))
+    )
+    early = "date <= '2024-01-15'"
+    drop = ["revenue", "roas", "revenue_per_click", "revenue_per_impression"]
+    a = features.feature_table(df, UNIQUE).where(early).drop(*drop)
+    b = features.feature_table(later, UNIQUE).where(early).drop(*drop)
+    assert sorted_rows(a) == sorted_rows(b)
+    firsts = features.lag_features(df, UNIQUE).where("date = '2024-01-01'").collect()
+    assert len(firsts) == 2 and all(r["spend_lag_1"] is None for r in firsts)
+
+
+def test_input_order_and_partitioning_do_not_matter(spark):
+    df = random_facts(spark)
+    whole = comparable(features.feature_table(df).toPandas())
+    for other in (df.orderBy(F.rand(3)), df.repartition(7), df.repartition(3, "spend")):
+        assert comparable(features.feature_table(other).toPandas()) == whole

@@ -162,7 +162,6 @@ def _features(facts: str) -> str:
 
 
 KEYS = ["date", "platform", "campaign_id", "campaign_name"]
-DROPPED = ["spend_text", "day_name", "month_name"]
 LEAKY = ["roas", "revenue_per_click", "revenue_per_impression"]
 
 
@@ -353,6 +352,11 @@ ORACLE: dict[str, str] = {
     "model_matrix_all_features": _matrix(leaky=True),
     "train_validation_split": f"""SELECT is_validation, count(*) AS row_count
         FROM ({LINEAR_DATA}) GROUP BY is_validation""",
+    "train_contract": f"""SELECT count(*) FILTER (NOT is_validation) AS train_rows,
+        count(*) FILTER (is_validation) AS validation_rows, true AS errors_are_plausible,
+        true AS beats_the_mean FROM ({LINEAR_DATA})""",
+    "score_coverage": f"""SELECT platform, count(*) AS row_count, count(*) AS finite_predictions,
+        count(DISTINCT campaign_id) AS campaign_count FROM ({SHIPMENTS}) GROUP BY platform""",
     "train_linear": f"""WITH d AS ({LINEAR_DATA}), fit AS (SELECT
             regr_slope(revenue, conversions) AS slope, regr_intercept(revenue, conversions) AS base
             FROM d WHERE NOT is_validation),
@@ -407,5 +411,15 @@ ORACLE: dict[str, str] = {
     "top_campaigns_by_platform": f"""SELECT platform, campaign_id,
         round(sum(prediction), 2) AS total_revenue FROM ({NAIVE}) GROUP BY platform, campaign_id
         ORDER BY sum(prediction) DESC, platform, campaign_id LIMIT 5""",
+    "summary_json": f"""WITH n AS ({NAIVE}), p AS ({PLATFORM_TOTALS}), c AS ({CAMPAIGN_TOTALS}),
+        entries AS (SELECT platform AS name, total, mean FROM p UNION ALL
+            SELECT * FROM (SELECT campaign_name, total, NULL FROM c
+                ORDER BY total DESC, campaign_name LIMIT 5)),
+        o AS (SELECT strftime(min(date), '%Y-%m-%d') || ' to ' || strftime(max(date), '%Y-%m-%d')
+                AS date_range, sum(prediction) AS total, avg(prediction) AS mean FROM n)
+        SELECT '2024-01-01T00:00:00Z' AS timestamp, date_range,
+            round(o.total, 2) AS total_predicted_revenue, round(o.mean, 4) AS mean_prediction,
+            name, round(entries.total, 2) AS total_revenue,
+            CAST(round(entries.mean, 4) AS DOUBLE) AS mean_revenue FROM entries, o""",
     "insights_report": _insights(),
 }

@@ -211,6 +211,27 @@ def score_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.score(model, table)
 
 
+def train_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a boosted forecast must meet, its exact numbers aside."""
+    result = trained(spark, sf_dir)
+    return result_row(spark, result).select(
+        "train_rows",
+        "validation_rows",
+        ((F.col("rmse") > 0) & (F.col("mae") <= F.col("rmse"))).alias("errors_are_plausible"),
+        F.col("r2").between(0, 1).alias("beats_the_mean"),
+    )
+
+
+def score_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No row is lost or left without a number, missing features or not."""
+    finite = F.abs(F.col("prediction")) < float("inf")
+    return score_predictions(spark, sf_dir).groupBy("platform").agg(
+        F.count("*").alias("row_count"),
+        F.count_if(finite).alias("finite_predictions"),
+        F.count_distinct("campaign_id").alias("campaign_count"),
+    )
+
+
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.feature_importance(spark, trained(spark, sf_dir).model)
 
@@ -240,8 +261,24 @@ def train_validation_split(df: DataFrame) -> DataFrame:
     return forecast.split_counts(forecast.hash_split(known))
 
 
+SUMMARY_SCHEMA = """timestamp string, date_range string, total_predicted_revenue double,
+    mean_prediction double,
+    platform_summary map<string, struct<total_revenue double, mean_revenue double>>,
+    top_5_campaigns map<string, double>, execution_time_seconds double"""
+
+
 def summary_json(df: DataFrame) -> DataFrame:
-    return report.summary_json(df, timestamp="2024-01-01T00:00:00Z", elapsed_seconds=0.0)
+    """The JSON document read back: one row per map entry, with the document's totals."""
+    document = report.summary_json(df, timestamp="2024-01-01T00:00:00Z", elapsed_seconds=0.0)
+    read = document.select(F.from_json("value", SUMMARY_SCHEMA).alias("d")).select("d.*")
+    fixed = ["timestamp", "date_range", "total_predicted_revenue", "mean_prediction"]
+    platforms = read.select(*fixed, F.explode("platform_summary").alias("name", "v")).select(
+        *fixed, "name", "v.total_revenue", "v.mean_revenue"
+    )
+    campaigns = read.select(
+        *fixed, F.explode("top_5_campaigns").alias("name", "total_revenue")
+    ).withColumn("mean_revenue", F.lit(None).cast("double"))
+    return platforms.unionByName(campaigns)
 
 
 def end_to_end_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,6 +320,8 @@ QUERIES: dict[str, Query] = {
     "train_validation_split": on_shipments(train_validation_split),
     "train_model": train_model,
     "score_predictions": score_predictions,
+    "train_contract": train_contract,
+    "score_coverage": score_coverage,
     "feature_importance": feature_importance,
     "train_linear": train_linear,
     "score_linear": score_linear,
@@ -309,7 +348,10 @@ QUERIES: dict[str, Query] = {
     "top_campaigns_by_platform": on_naive(
         lambda df: rollups.top_campaigns(df, by=("platform", "campaign_id")), total_revenue=2
     ),
-    "summary_json": on_naive(summary_json),
+    "summary_json": on_naive(
+        summary_json,
+        total_predicted_revenue=2, mean_prediction=4, total_revenue=2, mean_revenue=4,
+    ),
     "insights_report": on_naive(report.insights_report),
     "end_to_end_run": end_to_end_run,
 }
