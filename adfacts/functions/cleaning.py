@@ -98,8 +98,10 @@ def to_count(text: Column) -> Column:
 
 
 def to_date_time(text: Column, extra_patterns: Sequence[tuple[str, list[str]]] = ()) -> Column:
-    """Date text to a timestamp without time zone; unknown shapes are NULL."""
-    text = strip_whitespace(text)
+    """Date text without outer blanks to a timestamp without time zone.
+
+    Shapes not listed above, or in ``extra_patterns``, are NULL.
+    """
     parsed = F.when(text.rlike(ISO_DATE), text.try_cast("date").cast("timestamp_ntz"))
     parsed = parsed.when(text.rlike(ISO_DATE_TIME), text.try_cast("timestamp_ntz"))
     for shape, patterns in [*DATE_PATTERNS, *extra_patterns]:

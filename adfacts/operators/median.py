@@ -16,7 +16,8 @@ def exact_median(
     Spark's own exact median keeps every distinct value of a group in one task. This
     one counts values per equal-width bin (combined before the shuffle, so at most
     ``bins`` rows arrive), goes on inside the bin that holds the middle rank, and
-    sorts only once at most ``final_rows`` values are left.
+    sorts only once at most ``final_rows`` values are left. Each step reads ``df``
+    again, so persist or write what is expensive to compute.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
     count, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
@@ -24,9 +25,7 @@ def exact_median(
         return None
     below, above = (count - 1) // 2, count // 2
     first = _value_at(values, below, count, low, high, bins, final_rows)
-    if above == below:
-        return first
-    return (first + _next_value(values, first, above)) / 2
+    return first if above == below else (first + _next_value(values, first, above)) / 2
 
 
 def _next_value(values: DataFrame, value: float, rank: int) -> float:

@@ -4,32 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adfacts.operators.median import exact_median
 
 
+STATS_SCHEMA = """row_count bigint, total_revenue double, mean_prediction double,
+    median_prediction double, std_prediction double, min_prediction double,
+    max_prediction double"""
+
+
 def prediction_stats(df: DataFrame, approximate_median: bool = False) -> DataFrame:
     """One row: count, sum, mean, median, sample deviation, minimum, maximum.
 
-    The exact median takes a few passes over the predictions, so keep or write them
-    first. ``approximate_median`` needs one pass and is off by at most a
-    ten-thousandth of the ranks.
+    Computed at once, in a few passes over a persisted copy of the single column.
+    ``approximate_median`` needs one lazy pass and is off by at most a ten-thousandth
+    of the ranks.
     """
+    value = F.col("prediction")
+
+    def statistics(median: Column) -> list[Column]:
+        return [
+            F.count(value).alias("row_count"),
+            F.sum(value).alias("total_revenue"),
+            F.avg(value).alias("mean_prediction"),
+            median.alias("median_prediction"),
+            F.stddev_samp(value).alias("std_prediction"),
+            F.min(value).alias("min_prediction"),
+            F.max(value).alias("max_prediction"),
+        ]
+
     if approximate_median:
-        median = F.percentile_approx("prediction", F.lit(0.5), F.lit(10_000))
-    else:
-        median = F.lit(exact_median(df, "prediction")).cast("double")
-    return df.agg(
-        F.count("prediction").alias("row_count"),
-        F.sum("prediction").alias("total_revenue"),
-        F.avg("prediction").alias("mean_prediction"),
-        median.alias("median_prediction"),
-        F.stddev_samp("prediction").alias("std_prediction"),
-        F.min("prediction").alias("min_prediction"),
-        F.max("prediction").alias("max_prediction"),
-    )
+        median = F.percentile_approx(value, F.lit(0.5), F.lit(10_000))
+        return df.agg(*statistics(median))
+    column = df.select(value.cast("double").alias("prediction"))
+    column = column.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        median = F.lit(exact_median(column, "prediction")).cast("double")
+        row = column.agg(*statistics(median)).first()
+    finally:
+        column.unpersist()
+    return df.sparkSession.createDataFrame([row], STATS_SCHEMA)
 
 
 def date_range_label(low: Column, high: Column) -> Column:
@@ -44,17 +61,19 @@ def date_range(df: DataFrame) -> DataFrame:
     return df.agg(date_range_label(F.min("date"), F.max("date")).alias("date_range"))
 
 
-def platform_summary(df: DataFrame) -> DataFrame:
-    """Predicted revenue per platform, its share of the total in percent, largest first.
+def with_share(per_platform: DataFrame) -> DataFrame:
+    """Add each platform's share of the total in percent; 0 if the total is not positive."""
+    total = per_platform.agg(F.sum("total_revenue")).scalar()
+    share = F.when(total > 0, F.col("total_revenue") / total * 100).otherwise(F.lit(0.0))
+    return per_platform.withColumn("share_pct", share)
 
-    The share is 0 where the total is not positive.
-    """
+
+def platform_summary(df: DataFrame) -> DataFrame:
+    """Predicted revenue per platform and its share of the total, largest first."""
     per_platform = df.groupBy("platform").agg(
         F.sum("prediction").alias("total_revenue"), F.avg("prediction").alias("mean_revenue")
     )
-    total = per_platform.agg(F.sum("total_revenue")).scalar()
-    share = F.when(total > 0, F.col("total_revenue") / total * 100).otherwise(F.lit(0.0))
-    return per_platform.withColumn("share_pct", share).orderBy(F.desc("total_revenue"), "platform")
+    return with_share(per_platform).orderBy(F.desc("total_revenue"), "platform")
 
 
 def campaign_totals(df: DataFrame, by: Sequence[str] = ("campaign_name",)) -> DataFrame:

@@ -16,6 +16,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,6 +28,9 @@ PIECE = "_piece"
 SALT = "_salt"
 IS_LOOK_BACK = "_is_look_back"
 
+# The ends of all pieces of one campaign are sorted in one task: keep that small.
+MAX_PIECES = 20_000
+
 WindowColumns = Callable[[WindowSpec], dict[str, Column]]
 
 
@@ -55,15 +59,20 @@ def with_history(
     """Add the columns of ``build(window)``, which look at most ``look_back`` rows back."""
     if policy.unique_grain:
         return _windowed(df, build)
+    # one row per campaign, read twice
     lengths = df.groupBy(*SERIES_KEYS).agg(F.count("*").alias("n"))
-    total, longest = lengths.agg(F.sum("n"), F.max("n")).first()
-    # At most 10,000 campaigns can each hold over a ten-thousandth of all rows, so the
-    # list of long ones is small enough to send to every executor.
-    limit = max(policy.max_series_rows, math.ceil((total or 0) / 10_000))
-    if (longest or 0) <= limit:
-        return _windowed(df, build)
+    lengths = lengths.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total, longest = lengths.agg(F.sum("n"), F.max("n")).first()
+        # At most 10,000 campaigns can each hold over a ten-thousandth of all rows, so
+        # the list of long ones is small enough to send to every executor.
+        limit = max(policy.max_series_rows, math.ceil((total or 0) / 10_000))
+        if (longest or 0) <= limit:
+            return _windowed(df, build)
+        long_ones = lengths.where(F.col("n") > limit).collect()
+    finally:
+        lengths.unpersist()
 
-    long_ones = lengths.where(F.col("n") > limit).collect()
     keys = df.sparkSession.createDataFrame(
         [tuple(row[k] for k in SERIES_KEYS) for row in long_ones], df.select(*SERIES_KEYS).schema
     )
@@ -72,7 +81,9 @@ def with_history(
     short = df.join(F.broadcast(keys), condition, "left_anti")
     long = df.join(F.broadcast(keys), condition, "left_semi")
     pieces = math.ceil(sum(row["n"] for row in long_ones) / policy.piece_rows)
-    return _windowed(short, build).unionByName(_windowed_in_pieces(long, build, look_back, pieces))
+    return _windowed(short, build).unionByName(
+        _windowed_in_pieces(long, build, look_back, min(pieces, MAX_PIECES))
+    )
 
 
 def _windowed(df: DataFrame, build: WindowColumns) -> DataFrame:

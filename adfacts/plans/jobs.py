@@ -134,9 +134,11 @@ def run_scoring(
         raise ValueError("nothing to score: no valid row in the exports")
     parent = output.rstrip("/").rpartition("/")[0] or "."
     elapsed = time.monotonic() - started
-    report.write_lines(report.insights_report(predictions, elapsed), f"{parent}/insights")
+    rollup = report.campaign_rollup(predictions)
+    report.write_lines(report.insights_report(predictions, elapsed, rollup), f"{parent}/insights")
     report.write_document(
-        report.summary_json(predictions, elapsed_seconds=elapsed), f"{parent}/summary"
+        report.summary_json(predictions, elapsed_seconds=elapsed, rollup=rollup),
+        f"{parent}/summary",
     )
     return predictions
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from adfacts.operators.rollups import date_range_label, platform_summary, top_campaigns
+from adfacts.operators.rollups import date_range_label, with_share
+from adfacts.session import ensure_checkpoint_dir
 
 TOP_CAMPAIGNS = 5
 
@@ -26,33 +27,67 @@ def _pad_right(text: Column, width: int) -> Column:
     return F.concat(text, F.repeat(F.lit(" "), F.greatest(F.lit(0), width - F.length(text))))
 
 
-def _overview(df: DataFrame) -> DataFrame:
+def campaign_rollup(df: DataFrame) -> DataFrame:
+    """All a report needs, one row per platform and campaign name.
+
+    Written to the checkpoint folder, so that the report's many small figures read
+    these few rows and the predictions are read once.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return (
+        df.groupBy("platform", "campaign_name")
+        .agg(
+            F.sum("prediction").alias("total_revenue"),
+            F.count("prediction").alias("row_count"),
+            F.min("date").alias("min_date"),
+            F.max("date").alias("max_date"),
+        )
+        .checkpoint()
+    )
+
+
+def _figures() -> list[Column]:
+    total, rows = F.sum("total_revenue"), F.sum("row_count")
+    return [total.alias("total_revenue"), F.try_divide(total, rows).alias("mean_revenue")]
+
+
+def _platforms(rollup: DataFrame) -> DataFrame:
+    return with_share(rollup.groupBy("platform").agg(*_figures()))
+
+
+def _top_campaigns(rollup: DataFrame, n: int) -> DataFrame:
+    totals = rollup.groupBy("campaign_name").agg(F.sum("total_revenue").alias("total_revenue"))
+    return totals.orderBy(F.desc("total_revenue"), "campaign_name").limit(n)
+
+
+def _days() -> Column:
+    return date_range_label(F.min("min_date"), F.max("max_date")).alias("date_range")
+
+
+def _overview(rollup: DataFrame) -> DataFrame:
     """One row of everything the fixed lines need."""
-    platforms = platform_summary(df)
+    platforms = _platforms(rollup)
     best = platforms.orderBy(F.desc("total_revenue"), "platform").limit(1)
     worst = platforms.orderBy("total_revenue", F.desc("platform")).limit(1)
-    top = top_campaigns(df, 1)
-    return df.agg(
-        date_range_label(F.min("date"), F.max("date")).alias("date_range"),
-        F.sum("prediction").alias("total"),
-        F.avg("prediction").alias("mean"),
-    ).select(
-        "date_range",
-        "total",
-        "mean",
+    top = _top_campaigns(rollup, 1)
+    return rollup.agg(_days(), *_figures()).select(
+        "*",
         best.select("platform").scalar().alias("best"),
         worst.select("platform").scalar().alias("worst"),
         top.select("campaign_name").scalar().alias("top_campaign"),
     )
 
 
-def insights_report(df: DataFrame, elapsed_seconds: float | None = None) -> DataFrame:
+def insights_report(
+    df: DataFrame, elapsed_seconds: float | None = None, rollup: DataFrame | None = None
+) -> DataFrame:
     """The report as (line_no, line).
 
     Its length is fixed but for one line per platform, so numbering the lines in one
     task is safe. The execution time closes the report only when it is passed in.
     """
-    one = _overview(df)
+    rollup = campaign_rollup(df) if rollup is None else rollup
+    one = _overview(rollup)
 
     # The report's wording and widths.
     rule = "=" * 30
@@ -64,8 +99,8 @@ def insights_report(df: DataFrame, elapsed_seconds: float | None = None) -> Data
         "Overall Forecast",
         "-" * 16,
         F.concat(F.lit("Date Range                : "), F.col("date_range")),
-        F.concat(F.lit("Total Predicted Revenue   : $"), _money(F.col("total"))),
-        F.concat(F.lit("Average Predicted Revenue : $"), _money(F.col("mean"))),
+        F.concat(F.lit("Total Predicted Revenue   : $"), _money(F.col("total_revenue"))),
+        F.concat(F.lit("Average Predicted Revenue : $"), _money(F.col("mean_revenue"))),
         "",
         "Platform Performance",
         "-" * 20,
@@ -111,14 +146,14 @@ def insights_report(df: DataFrame, elapsed_seconds: float | None = None) -> Data
         _money(F.col("mean_revenue"), 10),
     )
     by_revenue = W.orderBy(F.desc("total_revenue"), "platform")
-    platforms = platform_summary(df).select(
+    platforms = _platforms(rollup).select(
         F.lit(2).alias("section"),
         F.row_number().over(by_revenue).alias("position"),
         platform_line.alias("line"),
     )
     by_campaign = W.orderBy(F.desc("total_revenue"), "campaign_name")
     campaigns = (
-        top_campaigns(df, TOP_CAMPAIGNS)
+        _top_campaigns(rollup, TOP_CAMPAIGNS)
         .withColumn("position", F.row_number().over(by_campaign))
         .select(
             F.lit(4).alias("section"),
@@ -151,12 +186,16 @@ def insights_report(df: DataFrame, elapsed_seconds: float | None = None) -> Data
 
 
 def summary_json(
-    df: DataFrame, timestamp: str | None = None, elapsed_seconds: float | None = None
+    df: DataFrame,
+    timestamp: str | None = None,
+    elapsed_seconds: float | None = None,
+    rollup: DataFrame | None = None,
 ) -> DataFrame:
     """One row, one JSON document (column ``value``).
 
     Its maps hold one entry per platform and per top campaign, largest first.
     """
+    rollup = campaign_rollup(df) if rollup is None else rollup
 
     def ordered_map(table: DataFrame, name: str, value: Column) -> Column:
         entry = F.struct(
@@ -168,19 +207,15 @@ def summary_json(
     figures = F.struct(
         F.col("total_revenue").alias("total_revenue"), F.col("mean_revenue").alias("mean_revenue")
     )
-    top = top_campaigns(df, TOP_CAMPAIGNS)
+    top = _top_campaigns(rollup, TOP_CAMPAIGNS)
     stamp = F.lit(timestamp) if timestamp else F.date_format(F.now(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    overall = df.agg(
-        date_range_label(F.min("date"), F.max("date")).alias("date_range"),
-        F.sum("prediction").alias("total_predicted_revenue"),
-        F.avg("prediction").alias("mean_prediction"),
-    )
+    overall = rollup.agg(_days(), *_figures())
     document = F.struct(
         stamp.alias("timestamp"),
         "date_range",
-        "total_predicted_revenue",
-        "mean_prediction",
-        ordered_map(platform_summary(df), "platform", figures).alias("platform_summary"),
+        F.col("total_revenue").alias("total_predicted_revenue"),
+        F.col("mean_revenue").alias("mean_prediction"),
+        ordered_map(_platforms(rollup), "platform", figures).alias("platform_summary"),
         ordered_map(top, "campaign_name", F.col("total_revenue")).alias("top_5_campaigns"),
         F.lit(elapsed_seconds).cast("double").alias("execution_time_seconds"),
     )

@@ -65,64 +65,65 @@ def read_export(
 def normalise(
     raw: DataFrame, spec: SourceSpec, audit: bool = False, hash_trimmed_name: bool = False
 ) -> DataFrame:
-    """One projection from a platform's text columns to the nine canonical columns.
+    """A platform's text columns as the nine canonical columns.
 
     ``audit`` adds two flags that only the raw text can tell: ``negative_revenue``
     and ``grain_mismatch``. The campaign id is a hash of the name as exported, so
     ``"A "`` and ``"A"`` differ; ``hash_trimmed_name`` makes them equal.
     """
     require_columns(raw.columns, spec.required, f"source {spec.platform}")
+    if not {"date", "campaign_name"} <= set(spec.columns):
+        raise ValueError(f"source {spec.platform}: date and campaign_name must be mapped")
 
-    def text(canonical: str) -> Column | None:
-        if canonical not in spec.columns:
-            return None
+    def text(canonical: str) -> Column:
         column = F.col(f"`{spec.columns[canonical]}`")
-        if spec.thousands_commas and canonical not in ("date", "campaign_name"):
+        if canonical == "date":
+            column = cleaning.strip_whitespace(column)
+        elif canonical != "campaign_name" and spec.thousands_commas:
             column = cleaning.strip_commas(column)
         clean = spec.cleaners.get(canonical)
         return clean(column) if clean else column
 
+    # The cleaned text is its own projection: typing refers to it several times.
+    cleaned = [text(c).alias(c) for c in spec.columns]
+    if audit and spec.grain_end in raw.columns:
+        # a missing day never equals another day, not even another missing one
+        same = F.col(f"`{spec.columns['date']}`") == F.col(f"`{spec.grain_end}`")
+        cleaned.append(F.coalesce(~same, F.lit(True)).alias("grain_mismatch"))
+    texts = raw.select(cleaned)
+
     def number(canonical: str) -> Column:
-        column = text(canonical)
-        return F.lit(None).cast("double") if column is None else cleaning.to_double(column)
+        if canonical not in spec.columns:
+            return F.lit(None).cast("double")
+        return cleaning.to_double(F.col(canonical))
 
     def count(canonical: str) -> Column:
-        column = text(canonical)
-        return F.lit(0).cast("bigint") if column is None else cleaning.to_count(column)
+        if canonical not in spec.columns:
+            return F.lit(0).cast("bigint")
+        return cleaning.to_count(F.col(canonical))
 
-    name, date = text("campaign_name"), text("date")
-    if name is None or date is None:
-        raise ValueError(f"source {spec.platform}: date and campaign_name must be mapped")
+    name = F.col("campaign_name")
     trimmed = cleaning.strip_whitespace(name)
     spend = number("spend")
     if spec.spend_divisor != 1:
         spend = spend / F.lit(float(spec.spend_divisor))
-    revenue = number("revenue")
-
     values = {
-        "date": cleaning.to_date_time(date, spec.date_patterns),
+        "date": cleaning.to_date_time(F.col("date"), spec.date_patterns),
         "platform": F.lit(spec.platform),
         "campaign_id": cleaning.campaign_id(spec.platform, trimmed if hash_trimmed_name else name),
         "campaign_name": trimmed,
         "spend": spend,
-        "revenue": cleaning.sanitise_revenue(revenue),
+        "revenue": cleaning.sanitise_revenue(number("revenue")),
         "conversions": number("conversions"),
         "clicks": count("clicks"),
         "impressions": count("impressions"),
     }
     columns = [values[f.name].cast(f.dataType).alias(f.name) for f in CANONICAL_SCHEMA]
     if audit:
-        mismatch = F.lit(False)
-        if spec.grain_end in raw.columns:
-            # a missing day never equals another day, not even another missing one
-            mismatch = F.coalesce(
-                F.col(spec.columns["date"]) != F.col(spec.grain_end), F.lit(True)
-            )
-        columns += [
-            F.coalesce(revenue < 0, F.lit(False)).alias("negative_revenue"),
-            mismatch.alias("grain_mismatch"),
-        ]
-    return raw.select(columns)
+        negative = F.coalesce(number("revenue") < 0, F.lit(False))
+        mismatch = F.col("grain_mismatch") if "grain_mismatch" in texts.columns else F.lit(False)
+        columns += [negative.alias("negative_revenue"), mismatch.alias("grain_mismatch")]
+    return texts.select(columns)
 
 
 def load_source(

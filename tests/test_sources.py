@@ -135,6 +135,12 @@ def test_text_of_missing_values(spark, tmp_path):
     assert sorted_rows(read_export(spark, str(path))) == [(None, " NA"), (None, None)]
 
 
+def test_blanks_around_a_date(spark, tmp_path):
+    path = tmp_path / "g.csv"
+    path.write_text(GOOGLE.splitlines()[0] + "\n\t2024-01-15 ,A,1,1,1000000,1,1\n")
+    assert load_source(spark, str(path), SOURCES["google_ads"]).first()["date"] == DAY
+
+
 def test_audit_flags(spark, exports):
     def flags(platform):
         spec = SOURCES[platform]

@@ -354,7 +354,7 @@ ORACLE: dict[str, str] = {
         FROM ({LINEAR_DATA}) GROUP BY is_validation""",
     "train_contract": f"""SELECT count(*) FILTER (NOT is_validation) AS train_rows,
         count(*) FILTER (is_validation) AS validation_rows, true AS errors_are_plausible,
-        true AS beats_the_mean FROM ({LINEAR_DATA})""",
+        true AS r2_is_plausible FROM ({LINEAR_DATA})""",
     "score_coverage": f"""SELECT platform, count(*) AS row_count, count(*) AS finite_predictions,
         count(DISTINCT campaign_id) AS campaign_count FROM ({SHIPMENTS}) GROUP BY platform""",
     "train_linear": f"""WITH d AS ({LINEAR_DATA}), fit AS (SELECT
