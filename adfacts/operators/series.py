@@ -28,6 +28,10 @@ PIECE = "_piece"
 SALT = "_salt"
 IS_LOOK_BACK = "_is_look_back"
 
+# The campaign comes first: a sort compares the first bytes of its first key, and the
+# few platform names would leave them equal.
+WINDOW_KEYS = list(reversed(SERIES_KEYS))
+
 # The ends of all pieces of one campaign are sorted in one task: keep that small.
 MAX_PIECES = 20_000
 
@@ -87,7 +91,7 @@ def with_history(
 
 
 def _windowed(df: DataFrame, build: WindowColumns) -> DataFrame:
-    window = W.partitionBy(*SERIES_KEYS).orderBy(*time_order(df))
+    window = W.partitionBy(*WINDOW_KEYS).orderBy(*time_order(df))
     return df.select("*", *[c.alias(name) for name, c in build(window).items()])
 
 
@@ -96,7 +100,7 @@ def _windowed_in_pieces(
 ) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     order = [*time_order(df), F.col(SALT)]
-    keys = [F.col(k) for k in SERIES_KEYS]
+    keys = [F.col(k) for k in WINDOW_KEYS]
     # The salt lets even equal rows fall into different pieces. Range bounds are
     # sampled, so the cut is written down: all later steps must see the same one.
     cut = (
@@ -105,7 +109,7 @@ def _windowed_in_pieces(
         .withColumn(PIECE, F.spark_partition_id())
         .checkpoint()
     )
-    piece = W.partitionBy(*SERIES_KEYS, PIECE)
+    piece = W.partitionBy(*WINDOW_KEYS, PIECE)
     # Per piece at most look_back rows; the limit applies before the shuffle too.
     tails = (
         cut.withColumn("_from_end", F.row_number().over(piece.orderBy(*[c.desc() for c in order])))
@@ -115,7 +119,7 @@ def _windowed_in_pieces(
     # The rows before a piece are the last ones among the tails of earlier pieces:
     # a tail shorter than look_back is its whole piece.
     row = F.struct(*[F.col(c) for c in cut.columns if c not in SERIES_KEYS])
-    across = W.partitionBy(*SERIES_KEYS).orderBy(*order)
+    across = W.partitionBy(*WINDOW_KEYS).orderBy(*order)
     look_backs = (
         tails.withColumn("_before", F.collect_list(row).over(across.rowsBetween(-look_back, -1)))
         .withColumn("_in_piece", F.row_number().over(piece.orderBy(*order)))

@@ -1,7 +1,7 @@
 """The two batch jobs.
 
-    spark-submit -m adfacts.plans.jobs train --data-dir URI --models-dir URI
-    spark-submit -m adfacts.plans.jobs score --data-dir URI --output URI --model URI
+    spark-submit adfacts/plans/jobs.py train --data-dir URI --models-dir URI
+    spark-submit adfacts/plans/jobs.py score --data-dir URI --output URI --model URI
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from adfacts.operators.evaluation import EvaluationReport, evaluate
 from adfacts.operators.features import feature_table
+from adfacts.operators.metrics import regression_metrics
 from adfacts.operators.series import SkewPolicy
 from adfacts.plans import forecast, report
 from adfacts.plans.config import JobConfig
@@ -29,12 +30,17 @@ from adfacts.sources.exports import Paths
 
 @dataclass(frozen=True)
 class RunResult:
-    """Everything a training run produced."""
+    """Everything a training run produced.
+
+    ``evaluation`` covers all rows with a known target, ``metrics_by_split`` the
+    training and the validation rows apart.
+    """
 
     unified: DataFrame
     features: DataFrame
     training: forecast.TrainingResult
     evaluation: EvaluationReport
+    metrics_by_split: DataFrame
     importance: DataFrame | None
 
 
@@ -58,11 +64,7 @@ def run_training(
     save: bool = False,
     policy: SkewPolicy = SkewPolicy(),
 ) -> RunResult:
-    """Ingest, derive features, train, and evaluate over all rows with a known target.
-
-    The evaluation reports the training and the validation rows apart as well as
-    together.
-    """
+    """Ingest, derive features, train, and evaluate over all rows with a known target."""
     unified = _written(ingest(spark, paths), "unified")
     features = _written(feature_table(unified, policy), "features")
     matrix = forecast.model_matrix(features, config)
@@ -80,8 +82,9 @@ def run_training(
     importance = None
     if hasattr(training.model.stages[-1], "featureImportances"):
         importance = forecast.feature_importance(spark, training.model)
-    evaluation = evaluate(scored, importance, forecast.LABEL, by=(forecast.IS_VALIDATION,))
-    return RunResult(unified, features, training, evaluation, importance)
+    evaluation = evaluate(scored, importance, forecast.LABEL)
+    by_split = regression_metrics(scored, forecast.LABEL, by=[forecast.IS_VALIDATION])
+    return RunResult(unified, features, training, evaluation, by_split, importance)
 
 
 def write_predictions(predictions: DataFrame, output: str, file_format: str = "parquet") -> None:

@@ -52,7 +52,8 @@ def test_training_run(trained):
     assert len(trained.features.columns) == 65
     known = trained.training.train_rows + trained.training.validation_rows
     assert known == 360  # one platform reports no revenue
-    parts = {r["is_validation"]: r["row_count"] for r in trained.evaluation.metrics.collect()}
+    assert trained.evaluation.metrics.first()["row_count"] == 360
+    parts = {r["is_validation"]: r["row_count"] for r in trained.metrics_by_split.collect()}
     assert parts == {False: trained.training.train_rows, True: trained.training.validation_rows}
     assert trained.training.r2 > 0.3
     assert trained.importance.count() == 55

@@ -308,6 +308,7 @@ ORACLE: dict[str, str] = {
     "ingest_meta": f"SELECT * FROM ({RAW_CANONICAL}) WHERE platform = 'meta_ads'",
     "ingest_bing": f"SELECT * FROM ({RAW_CANONICAL}) WHERE platform = 'microsoft_ads'",
     "ingest_unified": _validated(RAW_CANONICAL),
+    "ingest_ordered": f"{_validated(RAW_CANONICAL)} ORDER BY date, platform, campaign_id",
     "ingest_summary": f"""SELECT platform, count(*) AS row_count,
         count(DISTINCT campaign_id) AS campaign_count, min(date) AS min_date, max(date) AS max_date
         FROM ({_validated(RAW_CANONICAL)}) GROUP BY platform""",
@@ -341,6 +342,8 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (revenue IS NULL) AS revenue_nulls,
         1e2 * count(*) FILTER (revenue IS NULL) / count(*) AS revenue_null_pct
         FROM v GROUP BY ROLLUP (platform)""",
+    "revenue_null_map": f"""SELECT platform, count(*) AS revenue_nulls
+        FROM ({_validated(DIRTY)}) WHERE revenue IS NULL GROUP BY platform""",
     "time_features": f"SELECT *, {TIME} FROM ({SHIPMENTS})",
     "marketing_kpis": f"SELECT *, {KPI} FROM ({SHIPMENTS})",
     "lag_features": f"SELECT *, {LAG} FROM ({SHIPMENTS})",

@@ -14,11 +14,16 @@ from pyspark.sql import types as T
 from adfacts.functions import cleaning
 from adfacts.operators import evaluation, features, metrics, rollups
 from adfacts.operators.series import SkewPolicy, with_history
-from adfacts.operators.validation import quality_audit, revenue_null_audit, validate
+from adfacts.operators.validation import (
+    quality_audit,
+    revenue_null_audit,
+    revenue_null_map,
+    validate,
+)
 from adfacts.plans import forecast, jobs, report
 from adfacts.plans.config import JobConfig
 from adfacts.sources import SOURCES, ingest, load_source, normalise, read_export
-from adfacts.sources.exports import ingest_summary, unified_summary
+from adfacts.sources.exports import in_canonical_order, ingest_summary, unified_summary
 from workloads import facts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -284,7 +289,7 @@ def summary_json(df: DataFrame) -> DataFrame:
 def end_to_end_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exports to evaluation in one call: metrics per part of the split."""
     result = jobs.run_training(spark, facts.export_paths(spark, sf_dir), SMALL)
-    return result.evaluation.metrics
+    return result.metrics_by_split
 
 
 QUERIES: dict[str, Query] = {
@@ -293,6 +298,7 @@ QUERIES: dict[str, Query] = {
     "ingest_meta": one_source("meta_ads"),
     "ingest_bing": one_source("microsoft_ads"),
     "ingest_unified": ingest_unified,
+    "ingest_ordered": lambda spark, d: in_canonical_order(ingest_unified(spark, d)),
     "ingest_summary": lambda spark, d: ingest_summary(ingest_unified(spark, d)),
     "unified_summary": lambda spark, d: unified_summary(ingest_unified(spark, d)),
     "clean_thousands": clean_thousands,
@@ -306,6 +312,12 @@ QUERIES: dict[str, Query] = {
     "revenue_null_audit": on_facts(
         facts.dirty_facts, lambda df: revenue_null_audit(validate(df))
     ),
+    "revenue_null_map": on_facts(
+        facts.dirty_facts,
+        lambda df: revenue_null_map(validate(df)).select(
+            F.explode("revenue_nulls").alias("platform", "revenue_nulls")
+        ),
+    ),
     "time_features": on_shipments(features.time_features),
     "marketing_kpis": on_shipments(features.marketing_features),
     "lag_features": on_shipments(lambda df: features.lag_features(df, DAILY)),
