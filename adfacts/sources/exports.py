@@ -59,7 +59,7 @@ def read_export(
     if not parts:
         raise ValueError("no export path given")
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return merged.select([cleaning.null_tokens(F.col(f"`{c}`")).alias(c) for c in merged.columns])
+    return merged.select([cleaning.null_tokens(c).alias(c) for c in merged.columns])
 
 
 def normalise(
@@ -160,10 +160,12 @@ def ingest(
     unknown = sorted(set(given) - set(sources))
     if unknown:
         raise ValueError(f"unknown platforms {unknown}; known: {sorted(sources)}")
-    parts = [
-        validate(_parsed_once(load_source(spark, path, sources[platform], multi_line)))
-        for platform, path in given.items()
-    ]
+    parts = []
+    for platform, path in given.items():
+        spec = sources[platform]
+        parsed = _parsed_once(load_source(spark, path, spec, multi_line))
+        # stated again on top, so that a filter on platform skips the other exports
+        parts.append(validate(parsed.withColumn("platform", F.lit(spec.platform))))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -107,7 +107,8 @@ def test_campaign_id_is_a_stable_hash_of_the_untrimmed_name(spark):
 def test_text_helpers(spark):
     assert apply(spark, cleaning.strip_commas, ["1,234,567.5"]) == ["1234567.5"]
     assert apply(spark, cleaning.strip_whitespace, ["\t A b \n", " "]) == ["A b", ""]
-    assert apply(spark, cleaning.null_tokens, ["NA", "", "na", " NA"]) == [None, None, "na", " NA"]
+    got = apply(spark, lambda _: cleaning.null_tokens("x"), ["NA", "", "na", " NA", None])
+    assert got == [None, None, "na", " NA", None]
 
 
 def test_negative_values(spark):

@@ -110,6 +110,14 @@ def test_long_histories_spread_over_tasks(spark):
     assert max(sizes) < 1000  # the copies alone are 1000 rows of one campaign
 
 
+def test_piece_ends_are_limited_before_the_shuffle(spark):
+    df = random_facts(spark, rows=500)
+    cut = history(spark, df, SkewPolicy(max_series_rows=50, piece_rows=50))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_keys_may_be_null(spark):
     df = random_facts(spark).withColumn(
         "campaign_id", F.when(F.col("campaign_id") != "hot", F.col("campaign_id"))

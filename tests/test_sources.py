@@ -196,6 +196,19 @@ def test_text_is_parsed_once(spark, exports):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_filter_on_platform_reads_one_export(spark, exports):
+    df = ingest(spark, exports).where("platform = 'meta_ads'")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    assert df.count() == 2
+
+
+def test_only_needed_columns_are_read(spark, exports):
+    df = load_source(spark, exports["meta_ads"], SOURCES["meta_ads"]).select("date", "spend")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<date_start:string,spend:string>" in plan
+
+
 def test_row_wise_steps_run_on_a_stream(spark, exports, tmp_path):
     from adfacts.operators.validation import validate
 
