@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from adfacts.functions.calendar import calendar_columns
+from adfacts.functions.cleaning import strip_whitespace, to_date_time
 from adfacts.functions.kpi import kpi_columns
 from adfacts.operators.series import SkewPolicy, with_history
 from adfacts.schema import CANONICAL_COLUMNS, SERIES_KEYS, require_columns
@@ -24,7 +25,7 @@ def time_features(df: DataFrame) -> DataFrame:
     """Nine calendar columns. A text date is read first; a malformed one gives NULLs."""
     require_columns(df.columns, ["date"], "time features")
     if df.schema["date"].dataType.typeName() == "string":
-        df = df.withColumn("date", F.col("date").try_cast("timestamp_ntz"))
+        df = df.withColumn("date", to_date_time(strip_whitespace(F.col("date"))))
     return df.withColumns(calendar_columns(F.col("date")))
 
 

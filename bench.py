@@ -35,6 +35,14 @@ HEADLINE = [
 ]
 
 
+def scale_factor(sf_dir: str) -> float | str:
+    name = pathlib.Path(sf_dir).name
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
@@ -66,7 +74,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": pathlib.Path(sf_dir).name.removeprefix("sf"),
+                "sf": scale_factor(sf_dir),
             }
         )
     )
