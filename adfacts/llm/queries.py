@@ -8,24 +8,65 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adfacts.llm.common import table
+from adfacts.llm import language_id
+from adfacts.llm.common import fold_share, table
+from adfacts.llm.decontamination import contamination
 from adfacts.llm.exact_dedup import exact_duplicates
+from adfacts.llm.line_dedup import without_recurring_lines
+from adfacts.llm.packing import pack
 from adfacts.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its cleaned text and the numbers of the lines it lost."""
+    cleaned = without_recurring_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+        F.size("dropped_lines").alias("n_dropped"),
+        F.array_join(F.col("dropped_lines").cast("array<string>"), ",").alias("dropped_lines"),
+    )
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold_share("doc_id", 4) == 2
+    network = language_id.fit(docs.where(~held_out))
+    return docs.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        language_id.language_columns(F.col("text"), network).alias("found"),
+    ).select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_length_buckets": op1_length_buckets,
+    "op2_line_templates": op2_line_templates,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_benchmark_windows": op4_benchmark_windows,
+    "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
