@@ -10,12 +10,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfacts.llm import language_id
+from adfacts.llm import language_id, toxicity
 from adfacts.llm.common import fold_share, table
 from adfacts.llm.decontamination import contamination
 from adfacts.llm.exact_dedup import exact_duplicates
+from adfacts.llm.html_text import main_text_column
 from adfacts.llm.line_dedup import without_recurring_lines
+from adfacts.llm.lm_scoring import language_model_scores
 from adfacts.llm.packing import pack
+from adfacts.llm.pii import pseudonymised
 from adfacts.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +49,28 @@ def op4_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold_share("doc_id", 5) == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = toxicity.fit(docs, labels)
+    return docs.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        toxicity.toxicity_columns(F.col("text"), model).alias("found"),
+    ).select(
+        "doc_id",
+        "held_out",
+        "found.score",
+        (F.col("found.score") >= 0.5).cast("int").alias("predicted"),
+        "found.worst_sentence",
+    )
+
+
+def op6_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = fold_share("doc_id", 4) == 2
@@ -61,13 +86,38 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_format_preserving_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document a digest of the pseudonymised text and what was replaced."""
+    found = pseudonymised(table(spark, sf_dir, "documents"), key=QUERY_KEY)
+    return found.select(
+        "doc_id",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+        F.size("found").alias("n_found"),
+        F.array_join("found.kind", ",").alias("kinds"),
+        F.array_join("found.pseudonym", ",").alias("pseudonyms"),
+    )
+
+
+def op10_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = pages.select("page_id", "url", main_text_column(F.col("html")).alias("text"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+# The key of the registered query alone; users pass their own secret.
+QUERY_KEY = "registered query"
+
 QUERIES: dict[str, Query] = {
     "op1_length_buckets": op1_length_buckets,
     "op2_line_templates": op2_line_templates,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_benchmark_windows": op4_benchmark_windows,
+    "op5_toxicity": op5_toxicity,
+    "op6_deleted_interpolation": op6_deleted_interpolation,
     "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_format_preserving_pii": op9_format_preserving_pii,
+    "op10_text_density": op10_text_density,
 }
 
 ORACLE: dict[str, str] = {
