@@ -20,9 +20,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, and safe when executors go."""
+    return df.sparkSession.read.parquet(_write(df, label))
+
+
+def _write(df: DataFrame, label: str) -> str:
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return path
+
+
+class Scratch:
+    """Tables that are needed only within a ``with`` block; they are deleted at its end."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def table(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths.append(_write(df, label))
+        return self.spark.read.parquet(self.paths[-1])
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for name in self.paths:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(hadoop).delete(path, True)
 
 
 def whole_text(column: str = "text") -> Column:

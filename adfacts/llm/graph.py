@@ -5,23 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adfacts.llm.common import written
+from adfacts.llm.common import Scratch
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for every node of an edge; the component is its smallest node.
 
     ``edges`` holds ``a`` and ``b`` of one ordered type, in either direction, repeats
     allowed. Large-star and small-star steps alternate until the edges no longer change:
     the number of rounds grows with the logarithm of the longest chain. Each round ends in
-    a written table. Minima combine before the shuffle, and the joins that bring them back
+    a table of ``scratch``, which has to last until the result is used. Minima combine before the shuffle, and the joins that bring them back
     are plain, so adaptive execution can split the part of a node with many edges.
     """
-    now = written(_directed(edges), "components")
+    now = scratch.table(_directed(edges), "components")
     before = None
     while (state := _state(now)) != before:
         before = state
-        now = written(_small_star(_large_star(now)), "components")
+        now = scratch.table(_small_star(_large_star(now)), "components")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -14,9 +14,9 @@ same text: copies of one document are no recurrence. Its lines are dropped from
 document but the one with the smallest id, so that nothing is lost from the corpus. Lines
 of fewer than ``min_tokens`` tokens say too little and stay.
 
-Scale: counting combines equal masked lines before the shuffle. A leaf is never gathered;
-its tokens are counted as rows. The rows to drop are narrow; text is shuffled once to count,
-once for the tree's leaves and once to put documents together.
+Scale: lines are counted by a 128-bit key, equal ones combined before the shuffle. A leaf is
+never gathered; its tokens are counted as rows. Only lines of a leaf with several templates are
+read with their text. Texts are shuffled once, to take out the lines to drop.
 
 Defined results: null text stays null and has no lines, empty text stays empty. A text whose
 lines are all dropped becomes empty; the document stays. A null id never counts as the first
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfacts.llm.common import whole_text, written
+from adfacts.llm.common import Scratch, whole_text, written
 
 ANY = "<*>"
 
@@ -59,46 +59,57 @@ def _key(line: Column) -> list[Column]:
 
 def recurring_lines(
     docs: DataFrame,
+    scratch: Scratch,
     min_docs: int = 3,
     min_tokens: int = 3,
     depth: int = 3,
     min_constant: float = 0.7,
 ) -> DataFrame:
     """k1, k2, first_doc: keys of the masked lines that recur. ``docs``: doc_id, text."""
-    lines = docs.select(
-        "doc_id",
-        F.xxhash64("text").alias("text_hash"),
-        F.explode(F.array_distinct(_trimmed_lines(_masked(F.col("text"))))).alias("line"),
-    ).where(_tokens(F.col("line")) >= min_tokens)
-    counted = written(
-        lines.groupBy("line")
-        .agg(
-            F.count("*").alias("n"),
-            F.min("doc_id").alias("first_doc"),
-            F.min("text_hash").alias("low"),
-            F.max("text_hash").alias("high"),
+    lines = (
+        docs.select(
+            "doc_id",
+            F.xxhash64("text").alias("text_hash"),
+            F.explode(F.array_distinct(_trimmed_lines(_masked(F.col("text"))))).alias("line"),
         )
-        .withColumn("leaf", _leaf(F.col("line"), depth)),
+        .where(_tokens(F.col("line")) >= min_tokens)
+        .withColumn("leaf", _leaf(F.col("line"), depth))
+    )
+    seen = [
+        F.count("*").alias("n"),
+        F.min("doc_id").alias("first_doc"),
+        F.min("text_hash").alias("low"),
+        F.max("text_hash").alias("high"),
+    ]
+    counted = scratch.table(
+        lines.select("doc_id", "text_hash", "leaf", *_key(F.col("line")))
+        .groupBy("leaf", "k1", "k2")
+        .agg(*seen),
         "line-templates",
     )
     recurs = (F.col("n") >= min_docs) & (F.col("low") != F.col("high"))
-    exact = counted.where(recurs).select(*_key(F.col("line")), "first_doc")
+    exact = counted.where(recurs).select("k1", "k2", "first_doc")
 
-    # Leaves in which several lines may be one template.
-    leaves = (
+    # Leaves in which several lines may be one template. They are few: written first, so that
+    # Spark knows their size when it chooses how to join the texts of their lines.
+    leaves = scratch.table(
         counted.groupBy("leaf")
         .agg(F.count("*").alias("lines"), F.sum("n").alias("n"))
         .where((F.col("lines") > 1) & (F.col("n") >= min_docs))
+        .select("leaf"),
+        "line-leaves",
     )
-    tokens = (
-        counted.join(leaves.select("leaf"), "leaf", "left_semi")
-        .withColumn("tokens", _tokens(F.col("line")))
-        .select(
-            *_key(F.col("line")), "leaf", "tokens", "n", "first_doc", "low", "high",
-            F.posexplode(F.split("line", " ")).alias("at", "token"),
-        )
-        .withColumn("token", F.xxhash64("token"))
-    )
+    several = scratch.table(
+        lines.join(leaves, "leaf", "left_semi")
+        .groupBy("leaf", "line")
+        .agg(*seen)
+        .withColumn("tokens", _tokens(F.col("line"))),
+        "line-candidates",
+    )
+    tokens = several.select(
+        *_key(F.col("line")), "leaf", "tokens", "n", "first_doc", "low", "high",
+        F.posexplode(F.split("line", " ")).alias("at", "token"),
+    ).withColumn("token", F.xxhash64("token"))
     constant = (
         tokens.groupBy("leaf", "at", "token")
         .agg(F.sum("n").alias("docs"))
@@ -117,7 +128,7 @@ def recurring_lines(
             F.xxhash64(F.lit(1), "leaf", "constants").alias("t2"),
         )
     )
-    shaped = written(shaped, "line-shapes")
+    shaped = scratch.table(shaped, "line-shapes")
     templates = (
         shaped.groupBy("t1", "t2")
         .agg(
@@ -154,7 +165,8 @@ def without_recurring_lines(docs: DataFrame, **settings: float) -> DataFrame:
     """``docs`` (doc_id, text and any others) with ``text`` cleaned, and a second column
     ``dropped_lines``, the sorted numbers of the lines dropped. See ``recurring_lines``."""
     plain = docs.select("doc_id", whole_text().alias("text"))
-    recurring = written(recurring_lines(plain, **settings), "line-recurring")
+    with Scratch(docs.sparkSession) as scratch:
+        recurring = written(recurring_lines(plain, scratch, **settings), "line-recurring")
     losses = (
         dropped_lines(plain, recurring)
         .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from adfacts.llm.common import shuffle_partitions, whole_text, written
+from adfacts.llm.common import Scratch, shuffle_partitions, whole_text, written
 from adfacts.llm.graph import connected_components
 
 BITS = 64
@@ -94,14 +94,16 @@ def _signed(value: int) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
-def links(fingerprints: DataFrame, radius: int = 4, bucket_limit: int = 64) -> DataFrame:
+def links(
+    fingerprints: DataFrame, scratch: Scratch, radius: int = 4, bucket_limit: int = 64
+) -> DataFrame:
     """Edges (a, b) between distinct fingerprints, closing to the same components as all
     pairs within ``radius``. ``fingerprints`` has one bigint column ``fp``, no repeats."""
     masks = F.array(*[F.lit(m) for m in covering_masks(radius)])
     keyed = fingerprints.select("fp", F.posexplode(masks).alias("table", "mask")).select(
         "fp", F.xxhash64("table", F.col("fp").bitwiseAND(F.col("mask"))).alias("key")
     )
-    shared = written(
+    shared = scratch.table(
         keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-buckets"
     )
     small = keyed.join(shared.where(F.col("n") <= bucket_limit), "key")
@@ -165,7 +167,10 @@ def near_duplicates(
         ),
         "simhash",
     )
-    classes = written(component_ids(printed, radius, bucket_limit), "simhash-classes")
+    with Scratch(docs.sparkSession) as scratch:
+        classes = written(
+            component_ids(printed, scratch, radius, bucket_limit), "simhash-classes"
+        )
     return printed.join(classes, "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -173,11 +178,15 @@ def near_duplicates(
     )
 
 
-def component_ids(printed: DataFrame, radius: int, bucket_limit: int = 64) -> DataFrame:
+def component_ids(
+    printed: DataFrame, scratch: Scratch, radius: int = 4, bucket_limit: int = 64
+) -> DataFrame:
     """fp, component_id of each distinct fingerprint; ``printed`` has doc_id and fp."""
-    first = written(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-first")
-    edges = links(first.select("fp"), radius, bucket_limit)
-    grouped = connected_components(edges).withColumnRenamed("node", "fp")
+    first = scratch.table(
+        printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-first"
+    )
+    edges = links(first.select("fp"), scratch, radius, bucket_limit)
+    grouped = connected_components(edges, scratch).withColumnRenamed("node", "fp")
     marked = first.join(grouped, "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
@@ -188,18 +197,21 @@ def component_ids(printed: DataFrame, radius: int, bucket_limit: int = 64) -> Da
 def one_of_each_group(docs: DataFrame, radius: int = 4) -> DataFrame:
     """The rows of ``docs`` with the smallest ``doc_id`` of their component, all columns kept.
 
-    Rows that repeat that id stay together, as they are one document.
+    Rows that repeat that id stay together, as they are one document. The ids that stay are
+    nearly as many as the documents, so they are never broadcast.
     """
-    printed = written(
-        docs.select("doc_id", fingerprint_column(whole_text()).alias("fp")), "simhash"
-    )
-    classes = component_ids(printed, radius)
-    first = written(
-        printed.join(classes, "fp")
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_kept"))
-        .distinct(),
-        "simhash-kept",
-    )
+    with Scratch(docs.sparkSession) as scratch:
+        printed = scratch.table(
+            docs.select("doc_id", fingerprint_column(whole_text()).alias("fp")), "simhash"
+        )
+        classes = component_ids(printed, scratch, radius)
+        kept = written(
+            printed.join(classes, "fp")
+            .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias("_kept"))
+            .distinct(),
+            "simhash-kept",
+        )
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"))
-    return rows.join(first, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi").select("row.*")
+    same = F.col("_id").eqNullSafe(F.col("_kept"))
+    return rows.join(kept.hint("merge"), same, "left_semi").select("row.*")
