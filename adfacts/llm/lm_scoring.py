@@ -28,7 +28,7 @@ each. A null id counts as held out. Other columns are not returned.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -62,14 +62,15 @@ class Block:
 
     def __init__(self, texts: list[str | None]) -> None:
         ids: dict[bytes, int] = {START: 0}
-        word, context, self.sizes = [], [], []
+        words, contexts, self.sizes = [], [], []
         for text in texts:
-            numbers = [ids.setdefault(t, len(ids)) for t in tokens_of(text)]
-            word += numbers
-            context += [0, *numbers[:-1]]
+            numbers = np.array([ids.setdefault(t, len(ids)) for t in tokens_of(text)])
+            words.append(numbers)
+            contexts.append(np.append(0, numbers[:-1]))
             self.sizes.append(len(numbers))
+        word, context = np.concatenate(words), np.concatenate(contexts)
+        del words, contexts
         hashes = np.array([xxhash.xxh64_intdigest(t, 7) for t in ids], dtype=np.uint64)
-        word, context = np.array(word, dtype=np.int64), np.array(context, dtype=np.int64)
         pairs, pair_of = np.unique(context * len(ids) + word, return_inverse=True)
         with np.errstate(over="ignore"):
             pair_keys = _mixed(hashes[pairs // len(ids)] * MIX + hashes[pairs % len(ids)])
@@ -107,12 +108,13 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _small(counts: np.ndarray) -> bytes:
-    """Counts as 8-byte numbers, plane by plane, which compresses well."""
-    return counts.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Counts as 8-byte numbers, plane by plane, compressed: most of them are below ten."""
+    return zlib.compress(counts.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
 
 def _counts(data: bytes) -> np.ndarray:
-    planes = np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T)
+    flat = np.frombuffer(zlib.decompress(data), dtype=np.uint8)
+    planes = np.ascontiguousarray(flat.reshape(8, -1).T)
     return planes.view("<i8").ravel()
 
 
@@ -268,7 +270,7 @@ def _scores(weights: np.ndarray, tokens: int, vocabulary: int):
     return score
 
 
-def language_model_scores(docs: DataFrame, block_chars: int = 12_000_000) -> DataFrame:
+def language_model_scores(docs: DataFrame, block_chars: int = 8_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Blocks hold documents of one part (held out, deleted, learned) and are about
@@ -282,8 +284,11 @@ def language_model_scores(docs: DataFrame, block_chars: int = 12_000_000) -> Dat
     )
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_chars))
-    # An id may repeat often, so the text takes part in dealing.
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    # The two small parts have a tenth of the documents each, so fewer blocks of one size. An
+    # id may repeat often, so the text takes part in dealing.
+    tenth = F.lit(-(-blocks // 8))
+    of_part = F.when(F.col("part") == LEARNED, F.lit(blocks)).otherwise(tenth)
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), of_part))
     asked = dealt.groupBy("block", "part").applyInPandas(
         _asked(blocks), "block bigint, part int, bucket int, tokens bigint, keys binary, counts binary"
     )
