@@ -56,7 +56,7 @@ WHITESPACE = "".join(
 # Date texts that are not ISO 8601: a shape test, then the patterns to try in
 # order. The shape test keeps the parser from failing its way down the list.
 # Month comes first; a day above 12 in first place is read day first.
-YEAR = r"(1[7-9]\d\d|2[01]\d\d)"  # years beyond 1700 to 2199 count as malformed
+YEAR = r"\d{4}"
 DATE_PATTERNS: list[tuple[str, list[str]]] = [
     (rf"^\d{{1,2}}/\d{{1,2}}/{YEAR}$", ["M/d/yyyy", "d/M/yyyy"]),
     (r"^\d{1,2}/\d{1,2}/\d{2}$", ["M/d/yy", "d/M/yy"]),
@@ -67,13 +67,22 @@ DATE_PATTERNS: list[tuple[str, list[str]]] = [
     (rf"^\d{{1,2}} \p{{L}}+ {YEAR}$", ["d MMM yyyy", "d MMMM yyyy"]),
     (r"^\d{1,2}-\p{L}+-\d{2}$", ["d-MMM-yy"]),
     (rf"^\p{{L}}+ \d{{1,2}}, {YEAR}$", ["MMM d, yyyy", "MMMM d, yyyy"]),
+    (rf"^{YEAR}\.\d{{1,2}}\.\d{{1,2}}$", ["yyyy.M.d"]),
+    (rf"^\d{{1,2}}\.\d{{1,2}}\.{YEAR}$", ["M.d.yyyy", "d.M.yyyy"]),
 ]
 ISO_DATE = rf"^{YEAR}-\d{{1,2}}-\d{{1,2}}$"
 ISO_DATE_TIME = rf"^{YEAR}-\d{{1,2}}-\d{{1,2}}[ T]\d{{1,2}}:\d{{2}}:\d{{2}}(\.\d{{1,9}})?$"
+# A time of day after any of the date shapes, and a weekday before them.
+TIME = r"[ T](\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,9})?))?(?: ?([AaPp])[Mm])?$"
+WEEKDAY = r"^\p{L}+, (?=\p{L})"
+# What a count of nanoseconds in 64 bits can hold, in whole days.
+FIRST_TIME, END_OF_TIME = "1677-09-22", "2262-04-12"
+# Two-digit years up to 68 are read as 20xx, from 69 as 19xx.
+LAST_SHORT_YEAR = 2068
 
-# A plain decimal number of less than 10^299. Anything else is malformed: 12d, 0x1A,
-# inf and NaN, which Spark's own cast would let through, and what would overflow.
-NUMBER = r"^\s*[+-]?(\d{1,200}(\.\d*)?|\.\d+)([eE][+-]?\d{1,2})?\s*$"
+# A plain decimal number. Anything else is malformed: 12d, 0x1A, inf and NaN, which Spark's
+# own cast would let through.
+NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def null_tokens(column: str) -> Column:
@@ -95,7 +104,9 @@ def strip_commas(text: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    """Decimal text to a finite number; malformed text, or one too large, is NULL."""
+    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def to_count(text: Column) -> Column:
@@ -108,12 +119,34 @@ def to_date_time(text: Column, extra_patterns: Sequence[tuple[str, list[str]]] =
 
     Shapes not listed above, or in ``extra_patterns``, are NULL.
     """
-    parsed = F.when(text.rlike(ISO_DATE), text.try_cast("date").cast("timestamp_ntz"))
-    parsed = parsed.when(text.rlike(ISO_DATE_TIME), text.try_cast("timestamp_ntz"))
+    iso = F.when(text.rlike(ISO_DATE), text.try_cast("date").cast("timestamp_ntz"))
+    iso = iso.when(text.rlike(ISO_DATE_TIME), text.try_cast("timestamp_ntz"))
+    # Everything else may hold a time of day and a weekday besides one of the date shapes.
+    timed = text.rlike(TIME)
+    day_text = F.when(timed, F.regexp_replace(text, TIME, "")).otherwise(text)
+    day_text = F.regexp_replace(day_text, WEEKDAY, "")
+    day = F.when(day_text.rlike(ISO_DATE), day_text.try_cast("date"))
     for shape, patterns in [*DATE_PATTERNS, *extra_patterns]:
-        tries = [F.try_to_date(text, pattern) for pattern in patterns]
-        parsed = parsed.when(text.rlike(shape), F.coalesce(*tries).cast("timestamp_ntz"))
-    return parsed
+        tries = [F.try_to_date(day_text, pattern) for pattern in patterns]
+        found = F.coalesce(*tries)
+        if not any("yyyy" in pattern for pattern in patterns):
+            late = F.year(found) > LAST_SHORT_YEAR
+            found = F.when(late, F.add_months(found, -1200)).otherwise(found)
+        day = day.when(day_text.rlike(shape), found)
+    hour, minute, second = (F.regexp_extract(text, TIME, i) for i in (1, 2, 3))
+    half = F.lower(F.regexp_extract(text, TIME, 4))
+    hours = hour.try_cast("int")
+    good = (minute.try_cast("int") < 60) & (F.coalesce(second.try_cast("double"), F.lit(0.0)) < 60)
+    good = good & F.when(half == "", hours < 24).otherwise(hours.between(1, 12))
+    hours = F.when(half == "", hours).otherwise(hours % 12 + F.when(half == "p", 12).otherwise(0))
+    seconds = F.coalesce(second.try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)"))
+    zero = F.lit(0)
+    after = F.make_dt_interval(zero, hours, minute.try_cast("int"), seconds)
+    midnight = day.cast("timestamp_ntz")
+    other = F.when(~timed, midnight).when(good, midnight + after)
+    parsed = F.coalesce(iso, other)
+    first, end = (F.lit(d).cast("timestamp_ntz") for d in (FIRST_TIME, END_OF_TIME))
+    return F.when((parsed >= first) & (parsed < end), parsed)
 
 
 def campaign_id(platform: str, name: Column) -> Column:

@@ -19,13 +19,37 @@ def exact_median(
     sorts only once at most ``final_rows`` values are left. Each step reads ``df``
     again, so persist or write what is expensive to compute.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    count, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
-    if count == 0:
+    v = F.col("v")
+    values = df.select(F.col(column).cast("double").alias("v")).where(v.isNotNull())
+    # NaN sorts above infinity, as everywhere in Spark; only finite values are binned.
+    is_nan = F.isnan("v")
+    finite = ~is_nan & (F.abs(v) < math.inf)
+    lowest, nans, count, low, high, total = values.agg(
+        F.count_if(v == -math.inf),
+        F.count_if(is_nan),
+        F.count_if(finite),
+        F.min(F.when(finite, v)),
+        F.max(F.when(finite, v)),
+        F.count("*"),
+    ).first()
+    if total == 0:
         return None
-    below, above = (count - 1) // 2, count // 2
-    first = _value_at(values, below, count, low, high, bins, final_rows)
-    return first if above == below else (first + _next_value(values, first, above)) / 2
+    inside = values.where(finite)
+
+    def at(rank: int) -> float:
+        if rank < lowest:
+            return -math.inf
+        if rank >= lowest + count:
+            return math.nan if rank >= total - nans else math.inf
+        return _value_at(inside, rank - lowest, count, low, high, bins, final_rows)
+
+    below, above = (total - 1) // 2, total // 2
+    first = at(below)
+    if above == below:
+        return first
+    both_finite = lowest <= below and above < lowest + count
+    second = _next_value(inside, first, above - lowest) if both_finite else at(above)
+    return first / 2 + second / 2 if math.isinf(first + second) else (first + second) / 2
 
 
 def _next_value(values: DataFrame, value: float, rank: int) -> float:
@@ -47,11 +71,14 @@ def _value_at(
             .orderBy("bin")
             .collect()
         )
+        before = count
         for row in counted:
             if rank < row["n"]:
                 count, low, high = row["n"], row["low"], row["high"]
                 break
             rank -= row["n"]
+        if count >= before:
+            raise ArithmeticError("the bins do not tell the values apart")
     if low == high:
         return low
     inside = values.where(F.col("v").between(low, high))

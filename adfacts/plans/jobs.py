@@ -24,7 +24,7 @@ from adfacts.operators.series import SkewPolicy
 from adfacts.plans import forecast, report
 from adfacts.plans.config import JobConfig
 from adfacts.session import build_session, shared_folder
-from adfacts.sources import ingest
+from adfacts.sources import SOURCES, ingest
 from adfacts.sources.exports import Paths
 
 
@@ -63,9 +63,10 @@ def run_training(
     estimator: Estimator | None = None,
     save: bool = False,
     policy: SkewPolicy = SkewPolicy(),
+    multi_line: bool = True,
 ) -> RunResult:
     """Ingest, derive features, train, and evaluate over all rows with a known target."""
-    unified = _written(ingest(spark, paths), "unified")
+    unified = _written(ingest(spark, paths, multi_line=multi_line), "unified")
     features = _written(feature_table(unified, policy), "features")
     matrix = forecast.model_matrix(features, config)
     matrix = forecast.hash_split(matrix, config.test_size, config.random_state)
@@ -120,28 +121,29 @@ def run_scoring(
     output: str,
     file_format: str = "parquet",
     policy: SkewPolicy = SkewPolicy(),
+    multi_line: bool = True,
 ) -> DataFrame:
     """Score the exports; write predictions to ``output``, two reports next to it.
 
-    ``insights`` and ``summary`` go to the parent folder. They read the written
-    predictions, so the model runs once per row.
+    They are named after it, ``<output>_insights`` and ``<output>_summary``, and read the
+    written predictions, so the model runs once per row.
     """
     started = time.monotonic()
     if isinstance(model, str):
         model = forecast.load_model(spark, model)
-    unified = _written(ingest(spark, paths), "unified")
+    unified = _written(ingest(spark, paths, multi_line=multi_line), "unified")
     scored = forecast.score(model, feature_table(unified, policy))
     write_predictions(scored, output, file_format)
     predictions = read_predictions(spark, output, scored.schema, file_format)
     if predictions.isEmpty():
         raise ValueError("nothing to score: no valid row in the exports")
-    parent = output.rstrip("/").rpartition("/")[0] or "."
+    name = output.rstrip("/")
     elapsed = time.monotonic() - started
     rollup = report.campaign_rollup(predictions)
-    report.write_lines(report.insights_report(predictions, elapsed, rollup), f"{parent}/insights")
+    report.write_lines(report.insights_report(predictions, elapsed, rollup), f"{name}_insights")
     report.write_document(
         report.summary_json(predictions, elapsed_seconds=elapsed, rollup=rollup),
-        f"{parent}/summary",
+        f"{name}_summary",
     )
     return predictions
 
@@ -158,20 +160,40 @@ def main(arguments: list[str] | None = None) -> None:
     score.add_argument("--output", required=True)
     score.add_argument("--model", default=JobConfig().model_path)
     score.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    train.add_argument("--seed", type=int, default=JobConfig.random_state)
+    train.add_argument("--test-size", type=float, default=JobConfig.test_size)
+    for job in (train, score):
+        job.add_argument("--without", action="append", default=[], choices=sorted(SOURCES),
+                         help="a platform that has no export; may be repeated")
+        job.add_argument("--single-line", action="store_true",
+                         help="no line breaks inside quotes: large files are split among tasks")
     given = parser.parse_args(arguments)
 
+    def exports(config: JobConfig) -> dict[str, str]:
+        return {p: path for p, path in config.export_paths.items() if p not in given.without}
+
+    several_lines = not given.single_line
     spark = build_session(f"adfacts-{given.job}")
     if given.job == "train":
         config = JobConfig(
-            data_dir=given.data_dir, models_dir=given.models_dir, boosting_rounds=given.rounds
+            data_dir=given.data_dir,
+            models_dir=given.models_dir,
+            boosting_rounds=given.rounds,
+            random_state=given.seed,
+            test_size=given.test_size,
+        )
+        result = run_training(
+            spark, exports(config), config, save=True, multi_line=several_lines
         )
-        result = run_training(spark, config.export_paths, config, save=True)
         scores = result.training
         print(f"rmse={scores.rmse:.4f} mae={scores.mae:.4f} r2={scores.r2:.4f}")
         print(f"train rows={scores.train_rows} validation rows={scores.validation_rows}")
     else:
         config = JobConfig(data_dir=given.data_dir)
-        run_scoring(spark, config.export_paths, given.model, given.output, given.format)
+        run_scoring(
+            spark, exports(config), given.model, given.output, given.format,
+            multi_line=several_lines,
+        )
 
 
 if __name__ == "__main__":

@@ -31,14 +31,15 @@ def is_local(spark: SparkSession) -> bool:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it then gets a temporary folder.
+    Only a local session may go without the setting; it then gets one temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="adfacts-checkpoint-")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="adfacts-checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

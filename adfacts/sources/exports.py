@@ -43,13 +43,14 @@ def read_export(
     spark: SparkSession,
     paths: Paths,
     required: Sequence[str] = (),
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Headered CSV with every column as text and missing-value texts as NULL.
 
     All files under one path share a header. Exports whose column order differs
     are passed as separate paths and matched by name. ``multi_line`` allows line
-    breaks inside quotes, at the price of one task per file.
+    breaks inside quotes, at the price of one task per file; without it a large file is split
+    among tasks, and a row that holds a line break falls apart.
     """
     parts = []
     for path in [paths] if isinstance(paths, str) else paths:
@@ -127,7 +128,7 @@ def normalise(
 
 
 def load_source(
-    spark: SparkSession, paths: Paths, spec: SourceSpec, multi_line: bool = False
+    spark: SparkSession, paths: Paths, spec: SourceSpec, multi_line: bool = True
 ) -> DataFrame:
     """One platform's export as canonical rows, not yet validated."""
     return normalise(read_export(spark, paths, spec.required, multi_line), spec)
@@ -148,7 +149,7 @@ def ingest(
     spark: SparkSession,
     paths: Mapping[str, Paths | None],
     sources: Mapping[str, SourceSpec] = SOURCES,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Validated union of the platforms that have a path; at least one must.
 

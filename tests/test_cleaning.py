@@ -117,3 +117,23 @@ def test_negative_values(spark):
     assert revenue == [None, 0.0, 2.0, None]
     clamped = [r[0] for r in df.select(cleaning.clamp_negative(F.col("x"))).collect()]
     assert clamped == [0.0, 0.0, 2.0, None]
+
+
+def test_dates_as_exports_write_them(spark):
+    texts = {
+        "2024-01-15 00:00": "2024-01-15 00:00:00", "1/15/2024 0:00": "2024-01-15 00:00:00",
+        "1/15/2024 12:00:00 AM": "2024-01-15 00:00:00", "1/15/2024 1:05 pm": "2024-01-15 13:05:00",
+        "2024.01.15": "2024-01-15 00:00:00", "15.01.2024": "2024-01-15 00:00:00",
+        "Monday, January 15, 2024": "2024-01-15 00:00:00", "1/15/99": "1999-01-15 00:00:00",
+        "1-Jan-99": "1999-01-01 00:00:00", "1/15/24": "2024-01-15 00:00:00",
+        "1690-01-01": "1690-01-01 00:00:00", "2205-03-01": "2205-03-01 00:00:00",
+        "1600-01-01": None, "9999-01-01": None, "1/15/2024 25:00": None, "1/15/2024 13:00 PM": None,
+    }
+    got = apply(spark, lambda c: cleaning.to_date_time(c).cast("string"), list(texts))
+    assert got == list(texts.values())
+
+
+def test_long_exponents_are_numbers_and_overflow_is_not(spark):
+    texts = ["1e+005", "1.5E-007", "1e100", "1" * 250, "1e400", "-1e999"]
+    got = apply(spark, cleaning.to_double, texts)
+    assert got == [1e5, 1.5e-7, 1e100, float("1" * 250), None, None]

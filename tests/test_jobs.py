@@ -78,9 +78,9 @@ def test_scoring_run(spark, config, trained, tmp_path, file_format):
         parts = sorted((tmp_path / "out" / name).glob("part-*"))
         return "".join(p.read_text() for p in parts)
 
-    assert "Revenue Contribution by Platform" in lines("insights")
-    assert lines("insights").startswith("=" * 30 + "\nBusiness Insights\n")
-    summary = json.loads(lines("summary"))
+    assert "Revenue Contribution by Platform" in lines("predictions_insights")
+    assert lines("predictions_insights").startswith("=" * 30 + "\nBusiness Insights\n")
+    summary = json.loads(lines("predictions_summary"))
     # totals per platform belong to the rows that were scored
     for platform, figures in summary["platform_summary"].items():
         total = sum(v for k, v in expected.items() if k[1] == platform)

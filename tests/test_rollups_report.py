@@ -136,3 +136,20 @@ def test_summary_document(spark):
     assert got["platform_summary"]["google_ads"] == {"total_revenue": 1250.75, "mean_revenue": 625.375}
     assert list(got["top_5_campaigns"].items())[1] == ("Alpha", 1009.75)
     assert len(got["top_5_campaigns"]) == 5 and got["execution_time_seconds"] == 2.5
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [float("-inf"), 1.0, 2.0, float("inf"), float("inf")],
+        [float("inf")] * 4 + [1.0],
+        [float("nan"), 3.0, 1.0, 2.0],
+        [float("-inf"), -1.0, 5.0, 7.0],
+        [float("inf")] * 9 + [float(i) for i in range(12)],
+    ],
+)
+def test_median_ends_with_infinities_and_nan(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    ordered = sorted(values, key=lambda v: (v != v, v))
+    low, high = ordered[(len(values) - 1) // 2], ordered[len(values) // 2]
+    assert exact_median(df, "x", bins=3, final_rows=1) == (low if low == high else (low + high) / 2)
