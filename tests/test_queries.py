@@ -9,10 +9,11 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
+from workloads import oracle, registry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["lineitem", "events"]
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = registry.QUERIES, oracle.ORACLE
 
 # Fitting boosted trees takes long; tests/test_forecast.py and tests/test_jobs.py cover it.
 SLOW = {"end_to_end_run"}
@@ -59,6 +60,11 @@ def test_query_without_sql_yields_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
+def test_contract_lists_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert len(df.columns) == 65 and df.count() == 397
