@@ -163,17 +163,17 @@ def test_goldens_of_one_campaign(spark, exports):
     from adfacts.sources import ingest
 
     table = features.feature_table(ingest(spark, {"google_ads": exports["google_ads"]}))
-    rows = table.where("campaign_name = 'Brand - Search'").orderBy("date").collect()
-    assert [r["spend_lag_1"] for r in rows] == [None, 45.0, 52.0]
+    rows = table.where("campaign_name = 'Winter Boots'").orderBy("date").collect()
+    assert [r["spend_lag_1"] for r in rows] == [None, 64.0, 72.0]
     assert [r["spend_lag_7"] for r in rows] == [None] * 3
-    assert [r["spend_rolling_mean_7"] for r in rows] == [None, 45.0, 48.5]
-    assert [round(r["spend_rolling_std_7"], 9) for r in rows] == [0, 0, 4.949747468]
-    assert [r["spend_rolling_min_7"] for r in rows] == [None, 45.0, 45.0]
-    assert [r["spend_rolling_max_7"] for r in rows] == [None, 45.0, 52.0]
+    assert [r["spend_rolling_mean_7"] for r in rows] == [None, 64.0, 68.0]
+    assert [round(r["spend_rolling_std_7"], 9) for r in rows] == [0, 0, 5.656854249]
+    assert [r["spend_rolling_min_7"] for r in rows] == [None, 64.0, 64.0]
+    assert [r["spend_rolling_max_7"] for r in rows] == [None, 64.0, 72.0]
     first = rows[0]
-    assert round(first["ctr"], 9) == 0.034285714 and first["cpc"] == 0.375
-    assert round(first["cpm"], 9) == 12.857142857 and first["roas"] == 10.0
-    assert round(first["revenue_per_impression"], 9) == 0.128571429
+    assert first["ctr"] == 0.04 and first["cpc"] == 0.32
+    assert first["cpm"] == 12.8 and first["roas"] == 15.0
+    assert first["revenue_per_impression"] == 0.192
     assert (first["day_of_week"], first["day_name"], first["month_name"]) == (0, "Monday", "January")
     assert (first["week_of_year"], first["quarter"], first["day_of_year"]) == (3, 1, 15)
     idle = table.where("campaign_name = 'Idle'").first()

@@ -28,10 +28,10 @@ def test_every_source_yields_the_canonical_schema(spark, exports, platform):
 def test_google(spark, exports):
     df = load_source(spark, exports["google_ads"], SOURCES["google_ads"])
     rows = {(r["campaign_name"], r["date"]): r for r in df.collect()}
-    first = rows["Brand - Search", DAY]
-    assert (first["spend"], first["revenue"], first["conversions"]) == (45.0, 450.0, 8.0)
-    assert (first["clicks"], first["impressions"]) == (120, 3500)
-    assert first["campaign_id"] == "be6b164c93401cac"
+    first = rows["Winter Boots", DAY]
+    assert (first["spend"], first["revenue"], first["conversions"]) == (64.0, 960.0, 16.0)
+    assert (first["clicks"], first["impressions"]) == (200, 5000)
+    assert first["campaign_id"] == "cea7f8d788b9c17f"
     assert rows["Idle", datetime.datetime(2024, 1, 17)]["revenue"] == 0.0
     assert rows["Refunds", datetime.datetime(2024, 1, 17)]["revenue"] is None
 
@@ -49,8 +49,8 @@ def test_microsoft_dates_and_commas(spark, exports):
     df = load_source(spark, exports["microsoft_ads"], SOURCES["microsoft_ads"])
     first, second = df.orderBy("date").collect()
     assert first["date"] == DAY
-    assert (first["impressions"], first["clicks"], first["spend"]) == (1234567, 1010, 2345.67)
-    assert (first["revenue"], second["revenue"]) == (1420.0, 0.0)
+    assert (first["impressions"], first["clicks"], first["spend"]) == (2045310, 3020, 1987.25)
+    assert (first["revenue"], second["revenue"]) == (6150.75, 0.0)
 
 
 def test_commas_only_count_as_thousands_where_the_platform_writes_them(spark, tmp_path):
@@ -112,7 +112,7 @@ def test_parts_with_another_column_order(spark, tmp_path):
     spec = SOURCES["google_ads"]
     # as separate paths they are matched by name
     apart = load_source(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], spec)
-    assert sorted(r["spend"] for r in apart.collect()) == [45.0, 52.0]
+    assert sorted(r["spend"] for r in apart.collect()) == [64.0, 72.0]
     # under one path the differing header is an error, not a silent swap
     with pytest.raises(Exception, match="CSV header does not conform"):
         load_source(spark, str(tmp_path), spec).collect()
