@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adfacts.functions.cleaning import clamp_negative
@@ -42,34 +42,40 @@ def quality_audit(
     """
     require_columns(df.columns, CANONICAL_COLUMNS, "canonical table")
     as_of = F.current_date() if as_of is None else as_of
-    first_missing = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED_COLUMNS])
+    return _with_first_missing(df).groupBy(*by).agg(*_audit_counts(df.columns, as_of))
+
+
+def observed(df: DataFrame, observation: Observation, as_of: Column) -> DataFrame:
+    """``df`` with the counts of ``quality_audit`` taken on the way, over all of its rows.
+
+    ``observation`` holds them once a job has computed the result; no further pass is made.
+    """
+    require_columns(df.columns, CANONICAL_COLUMNS, "canonical table")
+    counts = _audit_counts(df.columns, as_of)
+    return _with_first_missing(df).observe(observation, *counts).drop("first_missing")
+
+
+def _with_first_missing(df: DataFrame) -> DataFrame:
+    missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED_COLUMNS]
+    return df.withColumn("first_missing", F.coalesce(*missing))
+
+
+def _audit_counts(columns: list[str], as_of: Column) -> list[Column]:
     kept = F.col("first_missing").isNull()
     kept_date = F.when(kept, F.col("date"))
-    flags = [c for c in ("negative_revenue", "grain_mismatch") if c in df.columns]
-    return (
-        df.withColumn("first_missing", first_missing)
-        .groupBy(*by)
-        .agg(
-            F.count("*").alias("row_count"),
-            F.count_if(kept).alias("kept_rows"),
-            *[
-                F.count_if(F.col("first_missing") == c).alias(f"dropped_{c}")
-                for c in REQUIRED_COLUMNS
-            ],
-            *[
-                F.count_if(kept & (F.col(c) < 0)).alias(f"negative_{c}")
-                for c in NON_NEGATIVE_COLUMNS
-            ],
-            *[F.count_if(F.col(c)).alias(f"{c}_rows") for c in flags],
-            F.count_if(kept & F.col("revenue").isNull()).alias("revenue_nulls"),
-            F.count_if(kept_date > as_of.cast("timestamp_ntz")).alias("future_rows"),
-            F.min(kept_date).alias("min_date"),
-            F.max(kept_date).alias("max_date"),
-            (F.datediff(F.max(kept_date), F.min(kept_date)) + 1)
-            .cast("bigint")
-            .alias("calendar_days"),
-        )
-    )
+    flags = [c for c in ("negative_revenue", "grain_mismatch") if c in columns]
+    return [
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(kept).alias("kept_rows"),
+        *[F.count_if(F.col("first_missing") == c).alias(f"dropped_{c}") for c in REQUIRED_COLUMNS],
+        *[F.count_if(kept & (F.col(c) < 0)).alias(f"negative_{c}") for c in NON_NEGATIVE_COLUMNS],
+        *[F.count_if(F.col(c)).alias(f"{c}_rows") for c in flags],
+        F.count_if(kept & F.col("revenue").isNull()).alias("revenue_nulls"),
+        F.count_if(kept_date > as_of.cast("timestamp_ntz")).alias("future_rows"),
+        F.min(kept_date).alias("min_date"),
+        F.max(kept_date).alias("max_date"),
+        (F.datediff(F.max(kept_date), F.min(kept_date)) + 1).cast("bigint").alias("calendar_days"),
+    ]
 
 
 def revenue_null_audit(df: DataFrame) -> DataFrame:

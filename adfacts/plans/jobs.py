@@ -13,13 +13,14 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adfacts.operators.evaluation import EvaluationReport, evaluate
 from adfacts.operators.features import feature_table
 from adfacts.operators.metrics import regression_metrics
+from adfacts.operators.rollups import prediction_stats
 from adfacts.operators.series import SkewPolicy
 from adfacts.plans import forecast, report
 from adfacts.plans.config import JobConfig
@@ -37,6 +38,7 @@ class RunResult:
     """
 
     unified: DataFrame
+    audit: DataFrame
     features: DataFrame
     training: forecast.TrainingResult
     evaluation: EvaluationReport
@@ -56,6 +58,18 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _ingested(
+    spark: SparkSession, paths: Mapping[str, Paths | None], multi_line: bool
+) -> tuple[DataFrame, DataFrame]:
+    """The written fact table, and one row of audit counts per platform, taken while writing."""
+    audits = {p: Observation(f"audit-{p}-{uuid.uuid4().hex}") for p, path in paths.items() if path}
+    unified = _written(ingest(spark, paths, multi_line=multi_line, audits=audits), "unified")
+    counts = [{"platform": p, **audits[p].get} for p in sorted(audits)]
+    kinds = {"platform": "string", "min_date": "timestamp_ntz", "max_date": "timestamp_ntz"}
+    schema = ", ".join(f"{name} {kinds.get(name, 'bigint')}" for name in counts[0])
+    return unified, spark.createDataFrame([tuple(c.values()) for c in counts], schema)
+
+
 def run_training(
     spark: SparkSession,
     paths: Mapping[str, Paths | None],
@@ -66,7 +80,7 @@ def run_training(
     multi_line: bool = True,
 ) -> RunResult:
     """Ingest, derive features, train, and evaluate over all rows with a known target."""
-    unified = _written(ingest(spark, paths, multi_line=multi_line), "unified")
+    unified, audit = _ingested(spark, paths, multi_line)
     features = _written(feature_table(unified, policy), "features")
     matrix = forecast.model_matrix(features, config)
     matrix = forecast.hash_split(matrix, config.test_size, config.random_state)
@@ -85,7 +99,7 @@ def run_training(
         importance = forecast.feature_importance(spark, training.model)
     evaluation = evaluate(scored, importance, forecast.LABEL)
     by_split = regression_metrics(scored, forecast.LABEL, by=[forecast.IS_VALIDATION])
-    return RunResult(unified, features, training, evaluation, by_split, importance)
+    return RunResult(unified, audit, features, training, evaluation, by_split, importance)
 
 
 def write_predictions(predictions: DataFrame, output: str, file_format: str = "parquet") -> None:
@@ -123,21 +137,25 @@ def run_scoring(
     policy: SkewPolicy = SkewPolicy(),
     multi_line: bool = True,
 ) -> DataFrame:
-    """Score the exports; write predictions to ``output``, two reports next to it.
+    """Score the exports; write predictions to ``output``, four reports next to it.
 
-    They are named after it, ``<output>_insights`` and ``<output>_summary``, and read the
-    written predictions, so the model runs once per row.
+    They are named after it: ``<output>_insights``, ``<output>_summary``,
+    ``<output>_statistics`` (of the predictions) and ``<output>_audit`` (rows dropped and
+    mended per platform; written first). The first three read the written predictions, so the
+    model runs once per row.
     """
     started = time.monotonic()
     if isinstance(model, str):
         model = forecast.load_model(spark, model)
-    unified = _written(ingest(spark, paths, multi_line=multi_line), "unified")
+    unified, audit = _ingested(spark, paths, multi_line)
     scored = forecast.score(model, feature_table(unified, policy))
+    name = output.rstrip("/")
+    audit.write.mode("overwrite").json(f"{name}_audit")
     write_predictions(scored, output, file_format)
     predictions = read_predictions(spark, output, scored.schema, file_format)
     if predictions.isEmpty():
         raise ValueError("nothing to score: no valid row in the exports")
-    name = output.rstrip("/")
+    prediction_stats(predictions).write.mode("overwrite").json(f"{name}_statistics")
     elapsed = time.monotonic() - started
     rollup = report.campaign_rollup(predictions)
     report.write_lines(report.insights_report(predictions, elapsed, rollup), f"{name}_insights")
@@ -185,6 +203,8 @@ def main(arguments: list[str] | None = None) -> None:
         result = run_training(
             spark, exports(config), config, save=True, multi_line=several_lines
         )
+        for row in result.audit.collect():  # one per platform
+            print(f"{row['platform']}: {row['kept_rows']} of {row['row_count']} rows kept")
         scores = result.training
         print(f"rmse={scores.rmse:.4f} mae={scores.mae:.4f} r2={scores.r2:.4f}")
         print(f"train rows={scores.train_rows} validation rows={scores.validation_rows}")

@@ -5,17 +5,18 @@ Everything stays lazy: reading checks the header, and no count is taken.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adfacts.functions import cleaning
-from adfacts.operators.validation import validate
-from adfacts.schema import CANONICAL_SCHEMA, SERIES_KEYS, require_columns
+from adfacts.operators.validation import observed, validate
+from adfacts.schema import CANONICAL_COLUMNS, CANONICAL_SCHEMA, SERIES_KEYS, require_columns
 from adfacts.sources.registry import SOURCES, SourceSpec
 
 Paths = str | Sequence[str]
@@ -150,10 +151,13 @@ def ingest(
     paths: Mapping[str, Paths | None],
     sources: Mapping[str, SourceSpec] = SOURCES,
     multi_line: bool = True,
+    audits: Mapping[str, Observation] | None = None,
 ) -> DataFrame:
     """Validated union of the platforms that have a path; at least one must.
 
-    Row order is not promised: see ``in_canonical_order`` for the sink.
+    Row order is not promised: see ``in_canonical_order`` for the sink. A platform's
+    observation in ``audits`` receives its counts of ``quality_audit`` (its day: today) when
+    the result is computed. The filters of later steps then stay above all parsing.
     """
     given = {platform: path for platform, path in paths.items() if path}
     if not given:
@@ -164,7 +168,12 @@ def ingest(
     parts = []
     for platform, path in given.items():
         spec = sources[platform]
-        parsed = _parsed_once(load_source(spark, path, spec, multi_line))
+        watch = (audits or {}).get(platform)
+        raw = read_export(spark, path, spec.required, multi_line)
+        parsed = _parsed_once(normalise(raw, spec, audit=watch is not None))
+        if watch is not None:
+            today = F.lit(datetime.date.today())
+            parsed = observed(parsed, watch, today).select(CANONICAL_COLUMNS)
         # stated again on top, so that a filter on platform skips the other exports
         parts.append(validate(parsed.withColumn("platform", F.lit(spec.platform))))
     return reduce(DataFrame.unionByName, parts)

@@ -85,6 +85,10 @@ def test_scoring_run(spark, config, trained, tmp_path, file_format):
     for platform, figures in summary["platform_summary"].items():
         total = sum(v for k, v in expected.items() if k[1] == platform)
         assert figures["total_revenue"] == pytest.approx(total)
+    audit = {r["platform"]: r for r in map(json.loads, lines("predictions_audit").splitlines())}
+    assert len(audit) == 3 and all(r["kept_rows"] == 180 for r in audit.values())
+    statistics = json.loads(lines("predictions_statistics"))
+    assert statistics["total_revenue"] == pytest.approx(sum(expected.values()))
     if file_format == "csv":
         first = next(output.glob("part-*.csv")).read_text().splitlines()
         assert first[0] == "date,platform,campaign_id,campaign_name,prediction"
@@ -101,6 +105,26 @@ def test_scoring_needs_model_and_exports(spark, config, trained, tmp_path):
         )
 
 
+def test_rows_lost_are_counted_by_column(spark, tmp_path):
+    header = "segments_date,campaign_name,metrics_impressions,metrics_clicks,metrics_cost_micros,metrics_conversions,metrics_conversions_value"
+    lines = [
+        "2024-02-01,A,10,1,1000000,1,5", "2024-02-03,A,10,1,-1000000,1,-5",
+        "soon,A,10,1,1000000,1,5", "2024-02-01,,10,1,1000000,1,5",
+        "2024-02-01,A,10,1,much,1,5", "2024-02-01,A,10,1,1000000,,5", "2999-01-01,A,10,1,1,1,5",
+        "2200-01-01,A,10,1,1,1,",
+    ]
+    path = tmp_path / "google_ads.csv"
+    path.write_text("\n".join([header, *lines]) + "\n")
+    unified, audit = jobs._ingested(spark, {"google_ads": str(path), "meta_ads": None}, True)
+    (row,) = audit.collect()
+    assert unified.count() == row["kept_rows"] == 3 and row["row_count"] == 8
+    dropped = {c: row[f"dropped_{c}"] for c in ("date", "campaign_name", "spend", "conversions")}
+    assert dropped == {"date": 2, "campaign_name": 1, "spend": 1, "conversions": 1}
+    assert (row["negative_spend"], row["negative_revenue_rows"], row["future_rows"]) == (1, 1, 1)
+    assert row["revenue_nulls"] == 2
+    assert row["min_date"] == datetime.datetime(2024, 2, 1)
+
+
 def test_command_line(spark, config, trained, tmp_path, capsys):
     jobs.main(
         ["train", "--data-dir", config.data_dir, "--models-dir", str(tmp_path / "m"), "--rounds", "2"]
