@@ -131,9 +131,14 @@ def evaluate(
     by: tuple[str, ...] = (),
 ) -> EvaluationReport:
     """Bundle of all evaluation tables. Empty input or missing values are errors."""
-    checked_metrics(df, actual, prediction)
+    overall = checked_metrics(df, actual, prediction)
+    if by:
+        metrics = regression_metrics(df, actual, prediction, by)
+    else:  # the row that was checked
+        schema = regression_metrics(df, actual, prediction).schema
+        metrics = df.sparkSession.createDataFrame([tuple(overall.values())], schema)
     return EvaluationReport(
-        metrics=regression_metrics(df, actual, prediction, by),
+        metrics=metrics,
         actual_vs_predicted=actual_vs_predicted(df, actual, prediction),
         residuals=residuals(df, actual, prediction),
         residual_buckets=residual_buckets(df, actual, prediction),

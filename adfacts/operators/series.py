@@ -1,53 +1,54 @@
 """Row-based windows over campaign histories of any length.
 
 A window over (platform, campaign) puts one campaign into one task. Daily facts of a
-campaign are few, but nothing in the data enforces that: one campaign may hold a
-third of all rows. ``with_history`` therefore measures the longest history first.
-
-- Short histories (the normal case): one shuffle on the campaign, one sort, one window.
-- Long histories: those rows are range-partitioned by campaign *and* time, so that a
-  history spans many tasks, and each piece gets the last few rows before it (its
-  look-back) prepended. The result is the same, row for row.
+campaign are few, but nothing in the data enforces that: one campaign may hold a third of
+all rows, or all of them. ``with_history`` therefore cuts the ordered rows of all campaigns
+into pieces of about equal size, wherever the cuts fall, and gives the campaign that crosses
+a cut its last few rows from before it (its look-back). The result is the same, row for row,
+as one window per campaign. There is no other way for small data, and no limit on lengths.
+
+1. The rows are written once, so that the input is computed once, and their place in the
+   written files tells equal rows apart. A task that is run again sees the same places.
+2. They are range-partitioned by campaign, time and place, sorted, numbered, and written.
+3. One aggregation finds where each campaign starts and ends in each piece. From these few
+   numbers follows which rows before a cut are needed after it.
+4. One window per campaign and piece gives the columns; look-back rows are left out again.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adfacts.schema import CANONICAL_COLUMNS, SERIES_KEYS
-from adfacts.session import ensure_checkpoint_dir
+from adfacts.session import delete_folder, write_shared
 
 PIECE = "_piece"
-SALT = "_salt"
+AT = "_at"
+PLACE = "_place"
 IS_LOOK_BACK = "_is_look_back"
 
 # The campaign comes first: a sort compares the first bytes of its first key, and the
 # few platform names would leave them equal.
 WINDOW_KEYS = list(reversed(SERIES_KEYS))
 
-# The ends of all pieces of one campaign are sorted in one task: keep that small.
-MAX_PIECES = 20_000
-
 WindowColumns = Callable[[WindowSpec], dict[str, Column]]
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When to cut a history, and into which sizes.
+    """Into how many pieces the rows are cut.
 
-    ``unique_grain`` states that each campaign has at most one row per day. Its history
-    is then no longer than the calendar, so nothing has to be measured.
+    ``pieces=None`` means ``spark.sql.shuffle.partitions``, small pieces merged by adaptive
+    execution. ``unique_grain`` states that each campaign has at most one row per day. Its
+    history is then no longer than the calendar, and nothing has to be cut.
     """
 
-    max_series_rows: int = 2_000_000
-    piece_rows: int = 500_000
+    pieces: int | None = None
     unique_grain: bool = False
 
 
@@ -60,81 +61,76 @@ def time_order(df: DataFrame) -> list[Column]:
 def with_history(
     df: DataFrame, build: WindowColumns, look_back: int, policy: SkewPolicy = SkewPolicy()
 ) -> DataFrame:
-    """Add the columns of ``build(window)``, which look at most ``look_back`` rows back."""
+    """Add the columns of ``build(window)``, which look at most ``look_back`` rows back.
+
+    Unless ``policy.unique_grain`` is stated, this writes the cut rows to the shared folder
+    before it returns; they have to last until the result is used.
+    """
     if policy.unique_grain:
-        return _windowed(df, build)
-    # one row per campaign, read twice
-    lengths = df.groupBy(*SERIES_KEYS).agg(F.count("*").alias("n"))
-    lengths = lengths.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        total, longest = lengths.agg(F.sum("n"), F.max("n")).first()
-        # At most 10,000 campaigns can each hold over a ten-thousandth of all rows, so
-        # the list of long ones is small enough to send to every executor.
-        limit = max(policy.max_series_rows, math.ceil((total or 0) / 10_000))
-        if (longest or 0) <= limit:
-            return _windowed(df, build)
-        long_ones = lengths.where(F.col("n") > limit).collect()
-    finally:
-        lengths.unpersist()
-
-    keys = df.sparkSession.createDataFrame(
-        [tuple(row[k] for k in SERIES_KEYS) for row in long_ones], df.select(*SERIES_KEYS).schema
-    )
-    is_long = [df[k].eqNullSafe(keys[k]) for k in SERIES_KEYS]
-    condition = is_long[0] & is_long[1]
-    short = df.join(F.broadcast(keys), condition, "left_anti")
-    long = df.join(F.broadcast(keys), condition, "left_semi")
-    pieces = math.ceil(sum(row["n"] for row in long_ones) / policy.piece_rows)
-    return _windowed(short, build).unionByName(
-        _windowed_in_pieces(long, build, look_back, min(pieces, MAX_PIECES))
+        return _windowed(df, build, W.partitionBy(*WINDOW_KEYS).orderBy(*time_order(df)))
+    cut = _cut(df, policy.pieces)
+    rows = cut.withColumn(IS_LOOK_BACK, F.lit(False)).unionByName(
+        _look_back_rows(cut, look_back).withColumn(IS_LOOK_BACK, F.lit(True))
     )
+    wide = _windowed(rows, build, W.partitionBy(*WINDOW_KEYS, PIECE).orderBy(AT))
+    return wide.where(~F.col(IS_LOOK_BACK)).drop(PIECE, AT, IS_LOOK_BACK)
 
 
-def _windowed(df: DataFrame, build: WindowColumns) -> DataFrame:
-    window = W.partitionBy(*WINDOW_KEYS).orderBy(*time_order(df))
+def _windowed(df: DataFrame, build: WindowColumns, window: WindowSpec) -> DataFrame:
     return df.select("*", *[c.alias(name) for name, c in build(window).items()])
 
 
-def _windowed_in_pieces(
-    df: DataFrame, build: WindowColumns, look_back: int, pieces: int
-) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    order = [*time_order(df), F.col(SALT)]
-    keys = [F.col(k) for k in WINDOW_KEYS]
-    # The salt lets even equal rows fall into different pieces. Range bounds are
-    # sampled, so the cut is written down: all later steps must see the same one.
+def _cut(df: DataFrame, pieces: int | None) -> DataFrame:
+    """``df`` with ``PIECE`` and ``AT``: ``AT`` rises in campaign and time order, and by one
+    from row to row of a piece. Written, as range bounds are sampled anew by every run."""
+    spark = df.sparkSession
+    path = write_shared(df, "history-rows")
+    place = F.xxhash64("_metadata.file_name", "_metadata.row_index")
+    placed = spark.read.schema(df.schema).parquet(path).select("*", place.alias(PLACE))
+    order = [*[F.col(k) for k in WINDOW_KEYS], *time_order(df), F.col(PLACE)]
+    ranged = placed.repartitionByRange(*([pieces] if pieces else []), *order)
     cut = (
-        df.withColumn(SALT, F.rand(seed=17))
-        .repartitionByRange(pieces, *keys, *order)
-        .withColumn(PIECE, F.spark_partition_id())
-        .checkpoint()
+        ranged.sortWithinPartitions(*order)
+        .drop(PLACE)
+        .withColumns({PIECE: F.spark_partition_id(), AT: F.monotonically_increasing_id()})
+    )
+    cut_path = write_shared(cut, "history-pieces")
+    delete_folder(spark, path)
+    return spark.read.schema(cut.schema).parquet(cut_path)
+
+
+def _look_back_rows(cut: DataFrame, look_back: int) -> DataFrame:
+    """The rows that the first campaign of a piece needs from earlier ones, under its piece.
+
+    A piece of a campaign has at least one row, so ``look_back`` earlier pieces are enough.
+    """
+    runs = cut.groupBy(*WINDOW_KEYS, PIECE).agg(
+        F.min(AT).alias("start"), F.max(AT).alias("end"), F.count("*").alias("n")
     )
-    piece = W.partitionBy(*WINDOW_KEYS, PIECE)
-    # Per piece at most look_back rows; the limit applies before the shuffle too.
-    tails = (
-        cut.withColumn("_from_end", F.row_number().over(piece.orderBy(*[c.desc() for c in order])))
-        .where(F.col("_from_end") <= look_back)
-        .drop("_from_end")
+    # one row per campaign and piece: the longest campaign has as many as there are pieces
+    history = W.partitionBy(*WINDOW_KEYS).orderBy(PIECE)
+    donors = F.collect_list(F.struct(PIECE, "start", "end", "n", "before")).over(
+        history.rowsBetween(-look_back, -1)
     )
-    # The rows before a piece are the last ones among the tails of earlier pieces:
-    # a tail shorter than look_back is its whole piece.
-    row = F.struct(*[F.col(c) for c in cut.columns if c not in SERIES_KEYS])
-    across = W.partitionBy(*WINDOW_KEYS).orderBy(*order)
-    look_backs = (
-        tails.withColumn("_before", F.collect_list(row).over(across.rowsBetween(-look_back, -1)))
-        .withColumn("_in_piece", F.row_number().over(piece.orderBy(*order)))
-        .where(F.col("_in_piece") == 1)
-        .select(*SERIES_KEYS, F.col(PIECE).alias("_owner"), F.explode("_before").alias("r"))
-        .select(*SERIES_KEYS, "_owner", "r.*")
-        .drop(PIECE)
-        .withColumnRenamed("_owner", PIECE)
-        .withColumn(IS_LOOK_BACK, F.lit(True))
+    needed = (
+        runs.withColumn("before", F.sum("n").over(history) - F.col("n"))
+        .select(F.col(PIECE).alias("_owner"), F.col("before").alias("_rows"), donors.alias("d"))
+        .select("_owner", "_rows", F.inline("d"))
+        .select(
+            "_owner",
+            PIECE,
+            (F.col("start") + F.greatest(F.lit(0), F.col("_rows") - look_back - F.col("before")))
+            .alias("_low"),
+            F.col("end").alias("_high"),
+        )
+        .where(F.col("_low") <= F.col("_high"))
     )
-    window = piece.orderBy(*order)
+    # about one row per piece: written first, so that Spark knows the size when it joins
+    spark = cut.sparkSession
+    ranges = spark.read.schema(needed.schema).parquet(write_shared(needed, "history-borders"))
     return (
-        cut.withColumn(IS_LOOK_BACK, F.lit(False))
-        .unionByName(look_backs)
-        .select("*", *[c.alias(name) for name, c in build(window).items()])
-        .where(~F.col(IS_LOOK_BACK))
-        .drop(SALT, PIECE, IS_LOOK_BACK)
+        cut.join(ranges, PIECE)
+        .where(F.col(AT).between(F.col("_low"), F.col("_high")))
+        .withColumn(PIECE, F.col("_owner"))
+        .select(*cut.columns)
     )

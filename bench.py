@@ -25,7 +25,9 @@ HEADLINE = [
     "lag_features",
     "rolling_features",
     "feature_table",
+    "feature_table_default",
     "feature_table_skewed",
+    "feature_table_one_campaign",
     "model_matrix",
     "regression_metrics",
     "prediction_stats",

@@ -85,23 +85,35 @@ def test_history_agrees_with_the_plain_definition(spark):
 
 
 @pytest.mark.parametrize(
-    ("limit", "piece", "copies", "ties"),
-    [(50, 20, 0, True), (10, 5, 40, True), (30, 1000, 200, True), (20, 3, 0, False)],
+    ("pieces", "copies", "ties"),
+    [(1, 0, True), (7, 40, True), (20, 200, True), (40, 0, False), (150, 3, True), (None, 9, True)],
 )
-def test_cutting_long_histories_changes_nothing(spark, limit, piece, copies, ties):
-    df = random_facts(spark, seed=limit, copies=copies, ties=ties)
+def test_cutting_histories_changes_nothing(spark, pieces, copies, ties):
+    df = random_facts(spark, seed=copies, copies=copies, ties=ties)
     whole = history(spark, df)
-    cut = history(spark, df, SkewPolicy(max_series_rows=limit, piece_rows=piece))
+    cut = history(spark, df, SkewPolicy(pieces=pieces))
     assert comparable(cut.toPandas()) == comparable(whole.toPandas())
 
 
+def test_pieces_shorter_than_the_look_back(spark):
+    df = random_facts(spark, rows=60, ties=False)
+    cut = history(spark, df, SkewPolicy(pieces=50))  # a look-back spans many pieces
+    assert comparable(cut.toPandas()) == comparable(history(spark, df).toPandas())
+
+
+def test_no_rows_stay_no_rows(spark):
+    df = random_facts(spark).where("spend < 0")
+    cut = history(spark, df, SkewPolicy(pieces=4))
+    assert cut.count() == 0 and cut.columns == history(spark, df).columns
+
+
 def test_long_histories_spread_over_tasks(spark):
     df = random_facts(spark, rows=2000, copies=1000)
-    cut = history(spark, df, SkewPolicy(max_series_rows=100, piece_rows=50))
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     try:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         spark.conf.set("spark.sql.shuffle.partitions", "16")
+        cut = history(spark, df, SkewPolicy(pieces=60))
         sizes = [r["n"] for r in cut.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
@@ -110,11 +122,26 @@ def test_long_histories_spread_over_tasks(spark):
     assert max(sizes) < 1000  # the copies alone are 1000 rows of one campaign
 
 
-def test_piece_ends_are_limited_before_the_shuffle(spark):
-    df = random_facts(spark, rows=500)
-    cut = history(spark, df, SkewPolicy(max_series_rows=50, piece_rows=50))
+def test_the_input_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for part in parts:
+            seen.add(len(part))
+            yield part
+
+    df = random_facts(spark, rows=300)
+    counted = df.mapInPandas(count, df.schema)
+    cut = history(spark, counted, SkewPolicy(pieces=5))
+    assert cut.count() == 300 and cut.toPandas().shape[0] == 300
+    assert seen.value == 300
+
+
+def test_plan_of_cut_histories(spark):
+    cut = history(spark, random_facts(spark, rows=500), SkewPolicy(pieces=8))
     plan = cut._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("- Window") == 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
@@ -122,7 +149,7 @@ def test_keys_may_be_null(spark):
     df = random_facts(spark).withColumn(
         "campaign_id", F.when(F.col("campaign_id") != "hot", F.col("campaign_id"))
     )
-    cut = history(spark, df, SkewPolicy(max_series_rows=50, piece_rows=20))
+    cut = history(spark, df, SkewPolicy(pieces=20))
     assert comparable(cut.toPandas()) == comparable(history(spark, df).toPandas())
 
 

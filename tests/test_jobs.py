@@ -63,7 +63,7 @@ def test_training_run(trained):
 @pytest.mark.parametrize("file_format", ["parquet", "csv"])
 def test_scoring_run(spark, config, trained, tmp_path, file_format):
     output = tmp_path / "out" / "predictions"
-    policy = SkewPolicy(max_series_rows=20, piece_rows=15)  # histories are cut into pieces
+    policy = SkewPolicy(pieces=30)  # histories are cut into pieces
     scored = jobs.run_scoring(
         spark, config.export_paths, config.model_path, str(output), file_format, policy
     )

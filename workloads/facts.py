@@ -134,6 +134,24 @@ def skewed_shipment_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def one_campaign_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per ``lineitem`` row, all of one campaign; most rows equal thousands of others."""
+    odd = F.col("l_linenumber") % 2
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.date_trunc("year", F.col("l_shipdate").cast("timestamp"))
+        .cast("timestamp_ntz")
+        .alias("date"),
+        F.lit("google_ads").alias("platform"),
+        F.lit("Everything").alias("campaign_name"),
+        F.lit(1.25).alias("spend"),
+        (odd * 5).alias("revenue"),
+        F.lit(2).alias("conversions"),
+        (odd + 3).alias("clicks"),
+        F.lit(100).alias("impressions"),
+    )
+    return _canonical(rows.withColumn("campaign_id", _campaign_id()))
+
+
 def raw_exports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three platforms' export columns as text, one row per ``lineitem`` row.
 

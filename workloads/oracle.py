@@ -57,6 +57,12 @@ SKEWED = _finish(f"""
         CAST(l_quantity AS BIGINT) % 10 * 100 AS impressions
     FROM lineitem""")
 
+ONE_CAMPAIGN = _finish("""
+    SELECT date_trunc('year', l_shipdate) AS day, 'google_ads' AS platform,
+        'Everything' AS campaign_name, 1.25 AS spend, l_linenumber % 2 * 5 AS sales,
+        2 AS conversions, l_linenumber % 2 + 3 AS clicks, 100 AS impressions
+    FROM lineitem""")
+
 # Raw exports: the value each cell should be read as, from the keys that made it dirty.
 RAW = f"""
     SELECT *, CASE WHEN name_text IS NULL THEN NULL ELSE trim(name_text, ' ' || chr(9)) END
@@ -258,6 +264,48 @@ def _insights() -> str:
         SELECT row_number() OVER (ORDER BY section, position) AS line_no, line FROM ({lines})"""
 
 
+def _evaluation_report() -> str:
+    """Row count and two sums per table; the tables themselves have queries of their own."""
+    per_day = f"""SELECT sum(revenue) AS actual, sum(prediction) AS predicted
+        FROM ({NAIVE}) GROUP BY date"""
+    tables = {
+        "metrics": (_metrics(NAIVE, "platform"), "rmse", "mae"),
+        "actual_vs_predicted": (per_day, "actual", "abs(actual - predicted)"),
+        "residuals": (NAIVE, "abs(revenue - prediction)", "prediction"),
+        "residual_buckets": (
+            f"""WITH n AS ({NAIVE}),
+                b AS (SELECT min(prediction) AS low, max(prediction) AS high FROM n)
+            SELECT {_bucket('prediction', 'low', 'high')} AS bucket, count(*) AS row_count,
+                max(revenue - prediction) AS max_residual FROM n, b GROUP BY 1""",
+            "bucket * row_count",
+            "max_residual",
+        ),
+        "prediction_error": (
+            f"""WITH n AS ({NAIVE}),
+                b AS (SELECT least(min(revenue), min(prediction)) AS low,
+                    greatest(max(revenue), max(prediction)) AS high FROM n)
+            SELECT {_bucket('revenue', 'low', 'high')} * 20
+                + {_bucket('prediction', 'low', 'high')} AS position, count(*) AS row_count,
+                any_value(high - low) AS width FROM n, b GROUP BY 1""",
+            "position * row_count",
+            "width",
+        ),
+        "feature_importance": (
+            " UNION ALL ".join(
+                f"SELECT '{m}' AS feature, max({m}) AS importance FROM ({NAIVE})" for m in METRICS
+            ),
+            "importance",
+            "length(feature)",
+        ),
+    }
+    return " UNION ALL ".join(
+        f"""SELECT '{part}' AS part, count(*) AS row_count,
+            round(sum(CAST({first} AS DOUBLE)), 2) AS sum_1,
+            round(sum(CAST({second} AS DOUBLE)), 2) AS sum_2 FROM ({rows})"""
+        for part, (rows, first, second) in tables.items()
+    )
+
+
 def _audit() -> str:
     required = [c.strip() for c in CANONICAL.split(",") if c.strip() != "revenue"]
     dropped = []
@@ -350,7 +398,9 @@ ORACLE: dict[str, str] = {
     "rolling_features": f"SELECT *, {_rolling()} FROM ({SHIPMENTS})",
     "feature_table": _features(SHIPMENTS),
     "feature_table_events": _features(EVENTS),
+    "feature_table_default": _features(SHIPMENTS),
     "feature_table_skewed": _features(SKEWED),
+    "feature_table_one_campaign": _features(ONE_CAMPAIGN),
     "model_matrix": _matrix(leaky=False),
     "model_matrix_all_features": _matrix(leaky=True),
     "train_validation_split": f"""SELECT is_validation, count(*) AS row_count
@@ -395,10 +445,7 @@ ORACLE: dict[str, str] = {
             {_bucket('prediction', 'low', 'high')} AS predicted_bucket, count(*) AS row_count,
             any_value(low) AS line_low, any_value(high) AS line_high
         FROM n, b GROUP BY 1, 2""",
-    "evaluation_report": f"""SELECT 'metrics' AS part, count(DISTINCT platform) AS row_count
-            FROM ({NAIVE})
-        UNION ALL SELECT 'actual_vs_predicted', count(DISTINCT date) FROM ({NAIVE})
-        UNION ALL SELECT 'residuals', count(*) FROM ({NAIVE})""",
+    "evaluation_report": _evaluation_report(),
     "prediction_stats": f"""SELECT count(*) AS row_count, round(sum(prediction), 2)
             AS total_revenue, round(avg(prediction), 4) AS mean_prediction,
         round(median(prediction), 6) AS median_prediction,

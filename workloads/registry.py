@@ -30,8 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The daily adapters group by campaign and day, so no campaign outgrows the calendar.
 DAILY = SkewPolicy(unique_grain=True)
-# Sizes at which the large campaign of the test tables counts as long.
-CUT_EARLY = SkewPolicy(max_series_rows=5_000, piece_rows=4_000)
+# More pieces than the test tables need, so that campaigns cross their borders.
+PIECES = SkewPolicy(pieces=16)
 
 ROLLING = {
     f"{metric}_rolling_{kind}_{rows}": 6 if kind == "mean" else 4
@@ -163,14 +163,38 @@ METRIC_DIGITS = dict(rmse=6, mae=6, r2=6, mape=6, mape_nonzero=6)
 
 
 def evaluation_report(df: DataFrame) -> DataFrame:
-    bundle = evaluation.evaluate(df, by=("platform",))
-    parts = ("metrics", "actual_vs_predicted", "residuals")
+    """All six tables: their row counts, and two sums over the content of each."""
+    importance = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
+                    for c in features.HISTORY_METRICS
+                ]
+            )
+        )
+    )
+    importance = importance.groupBy("feature").agg(F.max("value").alias("importance"))
+    bundle = evaluation.evaluate(df, importance, by=("platform",))
+    position = F.col("actual_bucket") * 20 + F.col("predicted_bucket")
+    sums = {
+        "metrics": (F.col("rmse"), F.col("mae")),
+        "actual_vs_predicted": (F.col("actual"), F.abs(F.col("actual") - F.col("predicted"))),
+        "residuals": (F.abs(F.col("residual")), F.col("predicted")),
+        "residual_buckets": (F.col("bucket") * F.col("row_count"), F.col("max_residual")),
+        "prediction_error": (position * F.col("row_count"), F.col("line_high") - F.col("line_low")),
+        "feature_importance": (F.col("importance"), F.length("feature")),
+    }
     return union(
         [
-            getattr(bundle, part).agg(F.count("*").alias("row_count")).select(
-                F.lit(part).alias("part"), "row_count"
-            )
-            for part in parts
+            getattr(bundle, part).agg(
+                F.count("*").alias("row_count"),
+                *[
+                    F.round(F.sum(value.cast("double")), 2).alias(f"sum_{i}")
+                    for i, value in enumerate(values, 1)
+                ],
+            ).select(F.lit(part).alias("part"), "row_count", "sum_1", "sum_2")
+            for part, values in sums.items()
         ]
     )
 
@@ -326,7 +350,9 @@ QUERIES: dict[str, Query] = {
     ),
     "feature_table": on_shipments(feature_rows(DAILY)),
     "feature_table_events": on_facts(facts.event_facts, feature_rows(DAILY)),
-    "feature_table_skewed": on_facts(facts.skewed_shipment_facts, feature_rows(CUT_EARLY)),
+    "feature_table_default": on_shipments(feature_rows(SkewPolicy())),
+    "feature_table_skewed": on_facts(facts.skewed_shipment_facts, feature_rows(PIECES)),
+    "feature_table_one_campaign": on_facts(facts.one_campaign_facts, feature_rows(PIECES)),
     "model_matrix": on_shipments(matrix(JobConfig())),
     "model_matrix_all_features": on_shipments(matrix(JobConfig(drop_leaky_features=False))),
     "train_validation_split": on_shipments(train_validation_split),
