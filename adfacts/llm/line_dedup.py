@@ -5,18 +5,24 @@ tree of fixed depth: its number of tokens, then its first ``depth`` masked token
 generalises what varies there:
 
 - masked lines that are equal have one template;
-- other lines of the leaf are cut down to their constant tokens, those which at least
-  ``min_docs`` documents have at that position of the leaf; the rest become ``<*>``. If at
-  least ``min_constant`` of the tokens are constant, the result is the line's template.
-
-A template recurs if at least ``min_docs`` documents have it and not all of them have the
-same text: copies of one document are no recurrence. Its lines are dropped from every
-document but the one with the smallest id, so that nothing is lost from the corpus. Lines
-of fewer than ``min_tokens`` tokens say too little and stay.
+- other lines of the leaf are cut down to their constant tokens, the rest becomes ``<*>``. If at
+  least ``min_constant`` of the tokens are constant, the result is a template of the line. How
+  often a token must stand at its place of the leaf to be constant is not one number, as the
+  values of a field become frequent too: a line is cut at each of ``min_docs``, 2, 4, 8, ...
+  times ``min_docs`` occurrences. For a template with n lines, one of these lies between n / 2 and
+  n, so its words are constant there and the values of its fields are not, unless a value
+  stands in half of the lines and so makes a template itself.
+
+A template recurs if at least ``min_docs`` documents (distinct in id and text) have it and not
+all of them have the same text: copies of one document are no recurrence. Its lines are dropped
+from every document but the one with the smallest id, so that nothing is lost from the corpus.
+Lines of fewer than ``min_tokens`` tokens say too little and stay.
 
 Scale: lines are counted by a 128-bit key, equal ones combined before the shuffle. A leaf is
 never gathered; its tokens are counted as rows. Only lines of a leaf with several templates are
-read with their text. Texts are shuffled once, to take out the lines to drop.
+read with their text. Texts are shuffled once, to take out the lines to drop. Documents are
+counted by a bit each of 64 in the same aggregation; only where too few bits are set for the
+number of lines are they counted one by one.
 
 Defined results: null text stays null and has no lines, empty text stays empty. A text whose
 lines are all dropped becomes empty; the document stays. A null id never counts as the first
@@ -57,6 +63,11 @@ def _key(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(1), line).alias("k2")]
 
 
+def _document_bit() -> Column:
+    place = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(64)).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+
+
 def recurring_lines(
     docs: DataFrame,
     scratch: Scratch,
@@ -77,6 +88,7 @@ def recurring_lines(
     )
     seen = [
         F.count("*").alias("n"),
+        F.bit_or(_document_bit()).alias("bits"),
         F.min("doc_id").alias("first_doc"),
         F.min("text_hash").alias("low"),
         F.max("text_hash").alias("high"),
@@ -87,63 +99,114 @@ def recurring_lines(
         .agg(*seen),
         "line-templates",
     )
-    recurs = (F.col("n") >= min_docs) & (F.col("low") != F.col("high"))
-    exact = counted.where(recurs).select("k1", "k2", "first_doc")
-
-    # Leaves in which several lines may be one template. They are few: written first, so that
-    # Spark knows their size when it chooses how to join the texts of their lines.
+    # As many bits as that are set by as many documents at least; n counts repeated rows too.
+    enough, unclear = F.bit_count("bits") >= min_docs, F.bit_count("bits") < min_docs
+    differ = F.col("low") != F.col("high")
+    exact = counted.where(enough & differ).select("k1", "k2", "first_doc")
+
+    # Leaves in which several lines may be one template, or a line's documents are to be counted.
+    # They are few: written first, so that Spark knows their size when it chooses how to join the
+    # texts of their lines.
     leaves = scratch.table(
         counted.groupBy("leaf")
-        .agg(F.count("*").alias("lines"), F.sum("n").alias("n"))
-        .where((F.col("lines") > 1) & (F.col("n") >= min_docs))
+        .agg(
+            F.count("*").alias("lines"),
+            F.sum("n").alias("n"),
+            F.max((F.col("n") >= min_docs) & unclear & differ).alias("unclear"),
+        )
+        .where(((F.col("lines") > 1) & (F.col("n") >= min_docs)) | F.col("unclear"))
         .select("leaf"),
         "line-leaves",
     )
+    occurrences = scratch.table(
+        lines.join(leaves, "leaf", "left_semi").distinct(), "line-occurrences"
+    )
     several = scratch.table(
-        lines.join(leaves, "leaf", "left_semi")
-        .groupBy("leaf", "line")
+        occurrences.groupBy("leaf", "line")
         .agg(*seen)
         .withColumn("tokens", _tokens(F.col("line"))),
         "line-candidates",
     )
+    counted_apart = several.where((F.col("n") >= min_docs) & unclear & differ)
     tokens = several.select(
-        *_key(F.col("line")), "leaf", "tokens", "n", "first_doc", "low", "high",
+        *_key(F.col("line")), "leaf", "tokens", "n", "bits", "first_doc", "low", "high",
         F.posexplode(F.split("line", " ")).alias("at", "token"),
     ).withColumn("token", F.xxhash64("token"))
-    constant = (
+    frequent = (
         tokens.groupBy("leaf", "at", "token")
-        .agg(F.sum("n").alias("docs"))
-        .where(F.col("docs") >= min_docs)
-        .select("leaf", "at", "token")
+        .agg(F.sum("n").alias("times"))
+        .where(F.col("times") >= min_docs)
+        .select(
+            "leaf", "at", "token",
+            (F.length(F.bin(F.floor(F.col("times") / min_docs))) - 1).alias("level"),
+        )
+    )
+    kept = ["k1", "k2", "leaf", "tokens", "n", "bits", "first_doc", "low", "high"]
+    needed = F.col("tokens") * min_constant
+    levels = F.array_distinct(F.transform("words", lambda word: word["level"]))
+    constants = F.transform(
+        levels,
+        lambda level: F.transform(
+            F.filter("words", lambda word: word["level"] >= level),
+            lambda word: F.struct(word["at"], word["token"]),
+        ),
     )
-    kept = ["k1", "k2", "leaf", "tokens", "n", "first_doc", "low", "high"]
     shaped = (
-        tokens.join(constant, ["leaf", "at", "token"])
+        tokens.join(frequent, ["leaf", "at", "token"])
         .groupBy(*kept)
-        .agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("constants"))
-        .where(F.size("constants") >= F.col("tokens") * min_constant)
+        .agg(F.sort_array(F.collect_list(F.struct("at", "token", "level"))).alias("words"))
+        .where(F.size("words") >= needed)
+        .select(*kept, F.explode(constants).alias("constants"))
+        .where(F.size("constants") >= needed)
         .select(
-            "k1", "k2", "n", "first_doc", "low", "high",
+            "k1", "k2", "n", "bits", "first_doc", "low", "high",
             F.xxhash64("leaf", "constants").alias("t1"),
             F.xxhash64(F.lit(1), "leaf", "constants").alias("t2"),
         )
     )
     shaped = scratch.table(shaped, "line-shapes")
-    templates = (
+    grouped = scratch.table(
         shaped.groupBy("t1", "t2")
         .agg(
             F.count("*").alias("lines"),
             F.sum("n").alias("n"),
+            F.bit_or("bits").alias("bits"),
             F.min("first_doc").alias("first_doc"),
             F.min("low").alias("low"),
             F.max("high").alias("high"),
         )
-        .where(recurs & (F.col("lines") > 1))
+        .where((F.col("lines") > 1) & (F.col("n") >= min_docs) & differ),
+        "line-groups",
+    )
+    # Lines of the templates whose documents have to be counted: they have few documents each.
+    apart = scratch.table(
+        shaped.join(grouped.where(unclear).select("t1", "t2"), ["t1", "t2"], "left_semi").select(
+            "k1", "k2", "t1", "t2"
+        ),
+        "line-unclear",
+    )
+    documents = occurrences.select("doc_id", "text_hash", *_key(F.col("line")))
+    many = (
+        documents.join(apart, ["k1", "k2"])
+        .select("t1", "t2", "doc_id", "text_hash")
+        .distinct()
+        .groupBy("t1", "t2")
+        .agg(F.count("*").alias("docs"))
+        .where(F.col("docs") >= min_docs)
+        .select("t1", "t2")
+    )
+    templates = (
+        grouped.where(enough)
+        .unionByName(grouped.join(many, ["t1", "t2"], "left_semi"))
         .select("t1", "t2", "first_doc")
     )
     general = shaped.drop("first_doc").join(templates, ["t1", "t2"])
-    both = exact.union(general.select("k1", "k2", "first_doc"))
-    return both.groupBy("k1", "k2").agg(F.min("first_doc").alias("first_doc"))
+    return (
+        exact.union(counted_apart.select(*_key(F.col("line")), "first_doc"))
+        .union(general.select("k1", "k2", "first_doc"))
+        .groupBy("k1", "k2")
+        .agg(F.min("first_doc").alias("first_doc"))
+    )
 
 
 def dropped_lines(docs: DataFrame, recurring: DataFrame) -> DataFrame:

@@ -105,6 +105,28 @@ def test_lines(spark):
     assert got[11].text is None and got[12].text == ""
 
 
+@pytest.mark.parametrize("size", [20, 10_000])
+def test_fields_of_a_template_may_have_frequent_values(spark, size):
+    rng = random.Random(size)
+    names, cities = [f"name{a}{b}" for a in "abcdefghijklmnopqrstuvwxy" for b in "abcdefghijklmnopqrstuvwx"], VOCABULARY[:300]
+    line = "Posted today by our writer {} for the {} edition of the daily news column page"
+    texts = [f"{prose(6, i)}\n{line.format(rng.choice(names), rng.choice(cities))}" for i in range(size)]
+    got = {r.doc_id: r.dropped_lines for r in without_recurring_lines(table(spark, texts)).collect()}
+    assert 1 not in got[1] and sum(1 in dropped for dropped in got.values()) == size - 1
+
+
+def test_lines_recur_in_distinct_documents(spark):
+    def posted(word):
+        return f"Posted today by our writer {word} in the daily news column"
+
+    twice = table(spark, [posted("one") + "\nalpha", posted("one") + "\nbeta"])
+    within = table(spark, ["\n".join(map(posted, ("red", "green", "blue"))), posted("grey")], 10)
+    for docs in (twice.union(twice).union(twice), within):
+        assert all(r.dropped_lines == [] for r in without_recurring_lines(docs).collect())
+    third = without_recurring_lines(within.union(table(spark, [posted("pink")], 20))).collect()
+    assert {r.doc_id: r.dropped_lines for r in third} == {10: [], 11: [0], 20: [0]}
+
+
 def test_lines_of_odd_rows(spark, odd):
     got = without_recurring_lines(odd)
     assert got.columns == [*odd.columns, "dropped_lines"]
