@@ -16,14 +16,16 @@ Luhn digit of a card is made anew from the permuted rest; an address is permuted
 32 bits; a date as a day number, walking on until it falls into 1900 to 2099; the
 separators, the + and the country code stay where they were.
 
-A value that does not validate is left alone. Letters of an e-mail's local part are shifted
-within the alphabet by a keyed hash of the number of the address.
+A value that does not validate is left alone. The letters of an e-mail's local part go through
+a network of the same kind: in each round every letter of one half is moved within the alphabet
+by a keyed hash of its place and the other half. Upper case stays where it was.
 
 Each text is cut at its matches, which are replaced and put back in order, so a pseudonym is
-never read as a value again. Texts without a digit are passed over. There is no shuffle.
+never read as a value again. Texts with neither a digit nor an @ hold no value and are passed
+over. There is no shuffle.
 
 Defined results: null text stays null, empty text stays empty. Values next to letters or digits
-are no values. Repeated rows get equal results. Other columns pass through.
+are no values, but for a date before the T of a time. Repeated rows get equal results. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -42,7 +44,11 @@ FORMATS = {
     "card": r"\d(?:[ -]?\d){12,18}",
 }
 BEFORE, AFTER = r"(?<![\w.+-])", r"(?![\w-]|\.\d)"
-ANY_FORMAT = BEFORE + "(?:" + "|".join(FORMATS.values()) + ")" + AFTER
+TIME_AFTER = r"(?=[Tt]\d{2}(?::?\d{2}))"  # a date may be followed by T and a time
+ANY_FORMAT = (
+    BEFORE + "(?:(?:" + "|".join(FORMATS.values()) + ")" + AFTER
+    + r"|\d{4}-\d{2}-\d{2}" + TIME_AFTER + ")"
+)
 FIRST_DAY, DAYS = "1900-01-01", 73049  # to 2099-12-31
 
 
@@ -111,23 +117,53 @@ def _only_digits(value: Column) -> Column:
     return F.regexp_replace(value, r"\D", "")
 
 
-def _with_digits(value: Column, digits: Column) -> Column:
-    """The value with its digits replaced, in order, by others of the same number."""
+def _with_digits(value: Column, digits: Column, shape: str = r"^\d$") -> Column:
+    """The value with its digits (or what has ``shape``) replaced, in order, by others of the
+    same number. Upper case stays."""
     characters = F.split(value, "")
+
+    def put(done: Column, c: Column) -> Column:
+        new = F.substring(digits, done["used"] + 1, F.lit(1))
+        return F.concat(done["text"], F.when(c.rlike("^[A-Z]$"), F.upper(new)).otherwise(new))
+
     return F.aggregate(
         characters,
         F.struct(F.lit("").alias("text"), F.lit(0).alias("used")),
         lambda done, c: F.when(
-            c.rlike(r"^\d$"),
-            F.struct(
-                F.concat(done["text"], F.substring(digits, done["used"] + 1, F.lit(1))).alias("text"),
-                (done["used"] + 1).alias("used"),
-            ),
+            c.rlike(shape),
+            F.struct(put(done, c).alias("text"), (done["used"] + 1).alias("used")),
         ).otherwise(F.struct(F.concat(done["text"], c).alias("text"), done["used"].alias("used"))),
         lambda done: done["text"],
     )
 
 
+def _letters_permuted(key: str, kind: Column, letters: Column) -> Column:
+    """A string of lower-case letters as another one of its length; ``kind`` takes part in the key."""
+
+    def moved(half: Column, other: Column, turn: Column) -> Column:
+        def letter(c: Column, at: Column) -> Column:
+            said = _keyed(key, "letters", F.concat_ws("|", kind, turn.cast("string"), at.cast("string")), other)
+            return F.char((F.ascii(c) - 97 + said) % 26 + 97)
+
+        return F.when(half == "", half).otherwise(F.array_join(F.transform(F.split(half, ""), letter), ""))
+
+    def one(h: Column, turn: Column) -> Column:
+        even = turn % 2 == 0
+        return F.struct(
+            F.when(even, moved(h["left"], h["right"], turn)).otherwise(h["left"]).alias("left"),
+            F.when(even, h["right"]).otherwise(moved(h["right"], h["left"], turn)).alias("right"),
+        )
+
+    half = F.floor(F.length(letters) / 2).cast("int")
+    start = F.struct(
+        F.substring(letters, F.lit(1), half).alias("left"),
+        F.substring(letters, half + 1, F.length(letters)).alias("right"),
+    )
+    return F.aggregate(
+        F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, one, lambda h: F.concat(h["left"], h["right"])
+    )
+
+
 def _luhn_digit(rest: Column) -> Column:
     """The check digit that completes a number."""
     total = F.aggregate(
@@ -228,14 +264,9 @@ def _date(key: str, value: Column) -> Column:
 def _email(key: str, value: Column) -> Column:
     def renamed(parts: Column) -> Column:
         local, domain = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
-        shift = _keyed(key, "email", 0, _only_digits(local)) % 25 + 1
-        letters = F.transform(
-            F.split(local, ""),
-            lambda c: F.when(
-                c.rlike("^[a-z]$"), F.char((F.ascii(c) - 97 + shift) % 26 + 97)
-            ).when(c.rlike("^[A-Z]$"), F.char((F.ascii(c) - 65 + shift) % 26 + 65)).otherwise(c),
-        )
-        moved = F.array_join(letters, "")
+        letters = F.regexp_replace(F.lower(local), "[^a-z]", "")
+        other = _letters_permuted(key, _only_digits(local), letters)
+        moved = _let(other, lambda new: _with_digits(local, new, "^[A-Za-z]$"))
         digits = _only_digits(local)
         return F.concat(
             F.when(digits == "", moved).otherwise(
@@ -269,7 +300,7 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     column = F.col(f"`{text}`")
     rows = docs.select(
         F.struct("*").alias("_row"),
-        F.when(column.rlike(r"\d"), F.regexp_extract_all(column, F.lit(f"({ANY_FORMAT})"), F.lit(1)))
+        F.when(column.rlike(r"[\d@]"), F.regexp_extract_all(column, F.lit(f"({ANY_FORMAT})"), F.lit(1)))
         .otherwise(F.array().cast("array<string>"))
         .alias("_matches"),
     )

@@ -356,6 +356,28 @@ def test_pseudonyms(spark):
     assert [rows[i].text for i in (3, 4, 5)] == [None, "", "no digits"]
 
 
+def test_values_without_digits_around_or_before_a_time(spark):
+    docs = table(
+        spark,
+        ["Write to john.smith@example.com", "John.Smith@example.com, room 7", "at 2024-01-15T10:00:00Z.",
+         "on 2024-01-15", "2024-01-15Tea", "q@example.com", "mail aaaa@example.com", "mail bbbb@example.com"],
+    )
+    got = {r.doc_id: r for r in pii.pseudonymised(docs, "k").collect()}
+    address = got[1].text.removeprefix("Write to ")
+    assert re.fullmatch(r"[a-z]{4}\.[a-z]{5}@example\.com", address) and address != "john.smith@example.com"
+    assert got[2].text.lower() == f"{address}, room 7" and re.match("[A-Z][a-z]+[.][A-Z][a-z]+@", got[2].text)
+    assert got[3].text == f"at {got[4].text.removeprefix('on ')}T10:00:00Z." != "at 2024-01-15T10:00:00Z."
+    assert got[5].text == "2024-01-15Tea" and re.fullmatch("[a-z]@example.com", got[6].text)
+    shifts = [[(ord(y) - ord(x)) % 26 for x, y in zip(w, got[i].text[5:])] for i, w in ((7, "aaaa"), (8, "bbbb"))]
+    assert shifts[0] != shifts[1] and max(len(set(s)) for s in shifts) > 1  # no shift of the alphabet
+
+
+def test_letters_are_a_permutation(spark):
+    pairs = ["".join(p) for p in itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=2)]
+    made = pii.pseudonymised(table(spark, [f"{p}@example.com" for p in pairs]), "k")
+    assert made.select("text").distinct().count() == len(pairs)
+
+
 def test_pseudonyms_are_a_permutation(spark):
     values = spark.range(256).select(F.concat(F.lit("10.0.0."), "id").alias("text"), F.col("id").alias("doc_id"))
     assert pii.pseudonymised(values, "k").select("text").distinct().count() == 256
