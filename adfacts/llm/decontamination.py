@@ -125,8 +125,11 @@ def benchmark_items(benchmark: DataFrame, shingle_words: int) -> DataFrame:
 def anchors(items: DataFrame, similarity: float, shingle_words: int) -> DataFrame:
     """hash, n_words, at, slack: where in an item of n_words words an anchor stands."""
     lost = F.floor(F.size("hashes") * (1 - similarity) + 1e-9)
+    # An id may be null or repeated: an item is known by its id and all of its shingles.
+    item = [F.xxhash64("item_id", "hashes"), F.xxhash64(F.lit(1), "item_id", "hashes")]
     placed = items.select(
-        "item_id",
+        item[0].alias("item1"),
+        item[1].alias("item2"),
         "n_words",
         lost.alias("lost"),
         F.greatest(lost - (shingle_words - 1), F.lit(0)).cast("int").alias("slack"),
@@ -134,7 +137,7 @@ def anchors(items: DataFrame, similarity: float, shingle_words: int) -> DataFram
     )
     # Repeats within the item count apart: any lost + 1 of its shingles will do.
     common = placed.groupBy("hash").agg(F.count("*").alias("items"))
-    rank = F.row_number().over(W.partitionBy("item_id", "n_words").orderBy("items", "at"))
+    rank = F.row_number().over(W.partitionBy("item1", "item2", "n_words").orderBy("items", "at"))
     return (
         placed.join(common, "hash")
         .withColumn("rank", rank)

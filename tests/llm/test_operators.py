@@ -235,6 +235,15 @@ def test_contamination(spark):
     assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [3, 5, 6, 7, 8]
 
 
+@pytest.mark.parametrize("shared_id", [None, 3])
+def test_items_that_share_an_id_have_their_own_anchors(spark, shared_id):
+    items = [prose(30, 300 + i) for i in range(12)]
+    bench = spark.createDataFrame([(shared_id, t) for t in items], "item_id long, text string")
+    docs = table(spark, [f"{prose(20, 400 + i)} {t} {prose(20, 500 + i)}" for i, t in enumerate(items)])
+    assert {r.doc_id for r in decontamination.contamination(docs, bench).collect()} == set(range(1, 13))
+    assert decontamination.without_contaminated(docs, bench).count() == 0
+
+
 def test_contamination_of_odd_rows(spark, odd):
     bench = spark.createDataFrame([(1, prose(30, 2))], "item_id long, text string")
     assert {r.doc_id for r in decontamination.contamination(odd, bench).collect()} == {8, 9}
