@@ -7,9 +7,10 @@ first. For every other node, with its characters C, tags T, link characters LC a
     density = C/T * log(C/LC * T/LT) / log(ln(C/(C-LC) * LC + LC_body/C_body * C + e))
 
 (zeros count as one). A node's density sum is the sum of its children's densities. The node with the largest sum is
-found, the smallest density on its path from the body is the threshold, and among the nodes
-that reach the threshold the one with the largest sum is the main content. Its blocks are
-joined in page order.
+found, and the smallest density on its path from the body is the threshold. That node, and within
+every node beside the path that reaches the threshold the one with the largest sum, are the main
+content. Subtrees are joined in page order, each block by block. Of subtrees inside an ``article``
+or ``main`` that whole element is taken, and then none outside one.
 
 White space inside a block becomes one blank, a line break included; character references are
 decoded. Nothing else is dropped or capped.
@@ -162,14 +163,38 @@ def _density(node: Node, body_share: float) -> float:
     return c / t * math.log(ratio) / math.log(base) if base > 1 + 1e-12 else c / t * math.log(ratio)
 
 
-def main_node(root: Node) -> Node:
+def main_nodes(root: Node) -> list[Node]:
+    """The main content: subtrees in page order, none inside another."""
     order = _measured(root)
     best = max(order, key=lambda n: n.total)
+    if best.total <= 0:
+        return [root]
     threshold, node = best.density, best
     while node is not None:
         threshold, node = min(threshold, node.density), node.parent
-    dense = [n for n in order if n.density >= threshold]
-    return max(dense, key=lambda n: n.total, default=root)
+    # Within each node: the first descendant (or itself) of the largest sum, and its sum.
+    inner: dict[Node, Node] = {}
+    for node in reversed(order):
+        inner[node] = max(
+            [node, *(inner[c] for c in node.children if isinstance(c, Node) and not c.noise)],
+            key=lambda n: n.total,
+        )
+    # The body and what holds the best node reach the threshold by definition and would only
+    # find it again, so what lies beside the path to it counts for itself.
+    path, node = set(), best.parent
+    while node is not None:
+        path.add(node)
+        node = node.parent
+    found = {inner[n] for n in order if n not in path and n.density >= threshold and n.density > 0}
+    found.add(best)
+    chosen, covered = [], set()
+    for node in order:
+        if node.parent in covered:
+            covered.add(node)
+        elif node in found:
+            covered.add(node)
+            chosen.append(node)
+    return chosen
 
 
 def _blocks(node: Node) -> list[str]:
@@ -204,12 +229,20 @@ def main_text(page: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(page or "")
     builder.close()
-    node = main_node(builder.root)
-    # Density finds the body of an article; its heading and thin blocks belong to it too.
-    around = node
-    while around is not None and around.tag not in {"article", "main"}:
-        around = around.parent
-    return "\n".join(_blocks(around or node))
+    nodes = main_nodes(builder.root)
+    # Density finds the body of an article; its heading and thin blocks belong to it too. If the
+    # page marks its article, what lies outside is none of it.
+    marked = [_around(n) for n in nodes]
+    if any(marked):
+        nodes = [n for n in dict.fromkeys(marked) if n]
+    return "\n".join(block for n in nodes for block in _blocks(n))
+
+
+def _around(node: Node | None) -> Node | None:
+    """The nearest article or main that holds the node."""
+    while node is not None and node.tag not in {"article", "main"}:
+        node = node.parent
+    return node
 
 
 def main_text_column(html: Column) -> Column:

@@ -418,6 +418,18 @@ def test_main_text():
     assert html_text.main_text("<div>" * 5000 + "deep") == "deep"
 
 
+def test_main_text_in_sibling_containers():
+    def part(first, last):
+        return "".join(f"<p>{prose(40, i)}</p>" for i in range(first, last))
+
+    links = "".join(f"<li><a href=x>{prose(2, i)}</a></li>" for i in range(12))
+    page = (
+        f"<html><body><ul>{links}</ul><div class=part1>{part(0, 10)}</div><div><a href=x>more</a></div>"
+        f"<div class=part2>{part(10, 13)}</div><ul>{links}</ul></body></html>"
+    )
+    assert html_text.main_text(page).split("\n") == [prose(40, i) for i in range(13)]
+
+
 # pipeline
 
 
