@@ -2,7 +2,10 @@
 
 The page becomes a tree of nodes. What is never article text (scripts, styles, forms, menus,
 headers, footers, sidebars, notices, adverts, comments: by tag, role, class or id) is cut away
-first. For every other node, with its characters C, tags T, link characters LC and link tags LT:
+first. Class names that only speak of such a part (``has-sidebar``, ``no-sidebar``) do not count, nor do
+header names inside an article. A form that holds more than half of the text, or a form or
+an element named so that holds the page's only ``article`` or ``main``, is none of these; a form's
+controls are. For every other node, with its characters C, tags T, link characters LC and link tags LT:
 
     density = C/T * log(C/LC * T/LT) / log(ln(C/(C-LC) * LC + LC_body/C_body * C + e))
 
@@ -36,6 +39,7 @@ SILENT = set(
     "script style noscript template head title svg math canvas iframe object form button select "
     "textarea input nav footer aside dialog menu".split()
 )
+HEAD_PARTS = set("base link meta noscript script style template title".split())
 BLOCKS = set(
     "address article aside blockquote body caption center dd details div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary "
@@ -54,31 +58,70 @@ NOISE = re.compile(
     r"widget|toolbar|pagination|pager|login|signup|skip)(?:$|[\s_-])",
     re.I,
 )
+HEADING = re.compile(r"(?:^|[_-])(?:header|masthead)(?:$|[_-])", re.I)
+SPEAKS_OF = re.compile(r"(?:^|[_-])(?:has|have|no|not|with|without|hide)[_-]", re.I)
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "children", "parent", "noise", "chars", "tags", "link_chars", "link_tags",
+    __slots__ = ("tag", "children", "parent", "noise", "doubtful", "chars", "tags", "link_chars", "link_tags",
                  "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, noise: bool) -> None:
-        self.tag, self.parent, self.noise = tag, parent, noise
+        self.tag, self.parent, self.noise, self.doubtful = tag, parent, noise, False
         self.children: list[Node | str] = []
         self.density = self.total = 0.0
         self.chars = self.tags = self.link_chars = self.link_tags = 0
 
 
 def _is_noise(tag: str, attributes: dict[str, str | None], parent: Node) -> bool:
-    if tag in SILENT or "hidden" in attributes or attributes.get("aria-hidden") == "true":
+    if tag in SILENT - {"form"} or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
     if (attributes.get("role") or "").lower() in ROLES:
         return True
     if tag == "header":  # an article's own heading is part of it
         return not _inside(parent, {"article", "main"})
-    if tag in {"body", "html", "article", "main"}:
+    return False
+
+
+def _is_doubtful(tag: str, attributes: dict[str, str | None], parent: Node) -> bool:
+    """Noise by name or as a form, unless it turns out to hold the content."""
+    if tag in {"body", "html", "article", "main", "header"}:
         return False
-    names = f"{attributes.get('class') or ''} {attributes.get('id') or ''}"
-    return bool(NOISE.search(names))
+    names = f"{attributes.get('class') or ''} {attributes.get('id') or ''}".split()
+    names = [n for n in names if not SPEAKS_OF.search(n)]
+    if any(HEADING.search(n) for n in names) and _inside(parent, {"article", "main"}):
+        names = [n for n in names if not HEADING.search(n)]
+    return tag == "form" or any(NOISE.search(n) for n in names)
+
+
+def _settle_doubtful(root: Node) -> None:
+    """Clear ``noise`` of doubtful nodes that hold the content; see the module's text."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [c for c in node.children if isinstance(c, Node) and (c.doubtful or not c.noise)]
+    if not any(n.doubtful for n in order):
+        return
+    chars = {}
+    holds, open_nodes = set(), {root}
+    for node in order:
+        if node is not root and node.parent in open_nodes and not node.noise:
+            open_nodes.add(node)
+    marked = any(n.tag in {"article", "main"} for n in open_nodes)
+    for node in reversed(order):
+        chars[node] = sum(
+            len(SPACE.sub("", c)) if isinstance(c, str) else chars.get(c, 0) for c in node.children
+        )
+        if node.tag in {"article", "main"} or node in holds:
+            holds.add(node)
+            if node.parent is not None:
+                holds.add(node.parent)
+    for node in order:
+        large = node.tag == "form" and 2 * chars[node] > chars[root]
+        if node.doubtful and (large or (not marked and node in holds)):
+            node.noise = False
 
 
 def _inside(node: Node | None, tags: set[str]) -> bool:
@@ -95,13 +138,18 @@ class TreeBuilder(HTMLParser):
         self.root = self.here = Node("body", None, False)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "body" or (self.here.tag == "head" and tag not in HEAD_PARTS):
+            self._end({"head"}, stop=set())  # its end tag may be left out
         if tag in {"html", "body"}:
             return
         if tag in BLOCKS:
             self._end({"p"}, stop=BLOCKS - {"p"})
         if tag in ENDS:
             self._end(ENDS[tag], stop={"ul", "ol", "dl", "table", "body", "select"})
-        node = Node(tag, self.here, _is_noise(tag, dict(attrs), self.here))
+        attributes = dict(attrs)
+        node = Node(tag, self.here, _is_noise(tag, attributes, self.here))
+        if not node.noise and _is_doubtful(tag, attributes, self.here):
+            node.noise = node.doubtful = True
         self.here.children.append(node)
         if tag not in VOID:
             self.here = node
@@ -125,6 +173,8 @@ class TreeBuilder(HTMLParser):
             node = node.parent
 
     def handle_data(self, data: str) -> None:
+        if self.here.tag == "head" and not data.isspace():
+            self._end({"head"}, stop=set())
         self.here.children.append(data)
 
 
@@ -229,6 +279,7 @@ def main_text(page: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(page or "")
     builder.close()
+    _settle_doubtful(builder.root)
     nodes = main_nodes(builder.root)
     # Density finds the body of an article; its heading and thin blocks belong to it too. If the
     # page marks its article, what lies outside is none of it.

@@ -430,6 +430,33 @@ def test_main_text_in_sibling_containers():
     assert html_text.main_text(page).split("\n") == [prose(40, i) for i in range(13)]
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>t</title></head><body><form action=x><input name=a>{}<button>Send</button></form></body></html>",
+        "<form><article>{}</article><select><option>a</option></select></form>",
+        "<div class='layout has-sidebar'>{}<div class=sidebar>side</div></div>",
+        "<div class='no-sidebar'>{}</div>",
+        "<div class='page-widget'><main>{}</main></div>",
+        "<head><title>t</title><body>{}</body>",
+        "<head><title>t</title><meta charset=utf-8><div>{}</div>",
+        "<article><div class='article-header'><h1>Title</h1></div>{}</article>",
+    ],
+)
+def test_main_text_is_not_cut_away(page):
+    body = [prose(40, i) for i in range(4)]
+    heading = ["Title"] if "Title" in page else []
+    got = html_text.main_text(page.format("".join(f"<p>{t}</p>" for t in body)))
+    assert got.split("\n") == [*heading, *body]
+
+
+def test_comments_and_small_forms_stay_away():
+    body = "".join(f"<p>{prose(40, i)}</p>" for i in range(4))
+    side = f"<form><p>{prose(20, 7)}</p></form><div class=comments><article>{prose(30, 8)}</article></div>"
+    got = html_text.main_text(f"<article>{body}</article>{side}")
+    assert got.split("\n") == [prose(40, i) for i in range(4)]
+
+
 # pipeline
 
 
