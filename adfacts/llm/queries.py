@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adfacts.llm import language_id, toxicity
-from adfacts.llm.common import fold_share, table
+from adfacts.llm.common import WORD, fold_share, table, whole_text
 from adfacts.llm.decontamination import contamination
 from adfacts.llm.exact_dedup import exact_duplicates
 from adfacts.llm.html_text import main_text_column
 from adfacts.llm.line_dedup import without_recurring_lines
 from adfacts.llm.lm_scoring import language_model_scores
 from adfacts.llm.packing import pack
+from adfacts.llm.periodic_runs import periodic_runs
 from adfacts.llm.pii import pseudonymised
 from adfacts.llm.simhash import near_duplicates
 
@@ -104,6 +105,62 @@ def op10_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its runs, after the circles that the contract asks for are written into it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
+    found = _with_circles(docs).select("doc_id", periodic_runs(F.col("text")).alias("found"))
+    runs = F.arrays_zip(
+        F.col("found.starts").alias("start"),
+        F.col("found.lengths").alias("length"),
+        F.col("found.periods").alias("period"),
+    )
+    listed = found.select("doc_id", runs.alias("runs"), "found.collapsed")
+    # The runs come by start, then period, so that the first of equals stays.
+    best = F.reduce(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda top, run: F.when(run.length * top.period > top.length * run.period, run).otherwise(top),
+    )
+    lines = F.transform(
+        "runs", lambda run: F.concat(F.concat_ws(",", run.start, run.length, run.period), F.lit("\n"))
+    )
+    return listed.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _with_circles(docs: DataFrame) -> DataFrame:
+    """In every document whose crc32(doc_id) ends with 0, a circle of words up to the end.
+
+    With n words and g = floor(crc32 / 10), word i >= a = g % n becomes word a + (i - a) % p, where
+    p = 1 + floor((n - a) / (3 + g % 8)). A null id has no decimal text: its row stays.
+    """
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = (hashed % 10 == 0) & (F.col("n") > 0)
+    rows = docs.withColumn(
+        "words", F.when(hashed % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    )
+    rows = rows.withColumn("n", F.size(F.coalesce("words", F.array())))
+    g = F.floor(hashed / 10)
+    rows = rows.withColumn("a", F.when(chosen, (g % F.col("n")).cast("int")))
+    rows = rows.withColumn(
+        "p", F.when(chosen, (F.lit(1) + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))).cast("int"))
+    )
+    rest = F.col("n") - F.col("a")
+    times = F.ceil(rest / F.col("p")).cast("int")
+    circle = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times))
+    turned = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(circle, F.lit(1), rest))
+    text = F.when(chosen, F.array_join(turned, " ")).otherwise(F.col("text"))
+    return rows.select("doc_id", text.alias("text"))
+
+
 # The key of the registered query alone; users pass their own secret.
 QUERY_KEY = "registered query"
 
@@ -118,6 +175,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_format_preserving_pii": op9_format_preserving_pii,
     "op10_text_density": op10_text_density,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
