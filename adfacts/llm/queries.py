@@ -5,12 +5,14 @@ Each query applies one operator with production parameters to its whole table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adfacts.llm import language_id, toxicity
+from adfacts.llm.alignment import aligned
 from adfacts.llm.common import WORD, fold_share, table, whole_text
 from adfacts.llm.decontamination import contamination
 from adfacts.llm.exact_dedup import exact_duplicates
@@ -21,6 +23,8 @@ from adfacts.llm.packing import pack
 from adfacts.llm.periodic_runs import periodic_runs
 from adfacts.llm.pii import pseudonymised
 from adfacts.llm.simhash import near_duplicates
+from adfacts.llm.token_files import read_token_files, write_token_files
+from adfacts.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,6 +165,32 @@ def _with_circles(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", text.alias("text"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(
+        table(spark, sf_dir, "documents"),
+        vocabulary_path("byte_bpe_50k.json"),
+        vocabulary_path("piece_bpe_32k.model"),
+    )
+
+
+def op13_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document what the written files hold of it, in the order of the files."""
+    folder = f"{shared_folder(spark).rstrip('/')}/token-planes-{uuid.uuid4().hex}"
+    manifest = write_token_files(
+        table(spark, sf_dir, "documents"), folder, vocabulary_path("word_bpe_49k.json"), END_OF_DOCUMENT
+    )
+    return read_token_files(manifest, digest=True)
+
+
+def vocabulary_path(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+# The id that the contract puts behind every document.
+END_OF_DOCUMENT = 1
+
 # The key of the registered query alone; users pass their own secret.
 QUERY_KEY = "registered query"
 
@@ -176,6 +206,8 @@ QUERIES: dict[str, Query] = {
     "op9_format_preserving_pii": op9_format_preserving_pii,
     "op10_text_density": op10_text_density,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_token_planes": op13_token_planes,
 }
 
 ORACLE: dict[str, str] = {
