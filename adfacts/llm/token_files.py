@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -42,7 +43,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adfacts.llm.common import Scratch, whole_text, written
-from adfacts.llm.encoding import UNSPACED, Memory, encode_all, json_tokenizer, read_vocabulary
+from adfacts.llm.encoding import WordEncoder, json_tokenizer, read_vocabulary
 
 MARK = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
@@ -182,33 +183,13 @@ class FileReader:
 def encoded(text: Column, vocabulary: bytes, end_id: int) -> Column:
     """Unsigned 32-bit little-endian ids of the whole text, then ``end_id``, as binary."""
 
-    @F.pandas_udf("binary")
-    def encode(texts: pd.Series) -> pd.Series:
-        split = [UNSPACED.findall(one) for one in texts]
-        known = _remembered(vocabulary).values(word for words in split for word in words)
-        rows = []
-        for words in split:
-            ids: list[int] = []
-            for word in words:
-                ids += known[word]
-            ids.append(end_id)
-            rows.append(np.array(ids, dtype="<u4").tobytes())
-        return pd.Series(rows, dtype=object)
+    @F.arrow_udf("binary")
+    def encode(texts: pa.Array) -> pa.Array:
+        return WordEncoder.of_worker(vocabulary).encode(texts, end_id)
 
     return encode(text)
 
 
-_MEMORIES: dict[bytes, Memory] = {}
-
-
-def _remembered(vocabulary: bytes) -> Memory:
-    """One memory of segments per vocabulary and Python worker."""
-    if vocabulary not in _MEMORIES:
-        tokenizer = json_tokenizer(vocabulary, False)
-        _MEMORIES[vocabulary] = Memory(lambda words: encode_all(tokenizer, words))
-    return _MEMORIES[vocabulary]
-
-
 MANIFEST = "part int, number int, path string, n_docs bigint, n_ids bigint"
 
 

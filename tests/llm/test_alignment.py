@@ -129,4 +129,5 @@ def test_memory_of_segments_is_bounded(monkeypatch):
         wanted = ["ab" * rng.randint(1, 60) + str(rng.randint(0, 40)) for _ in range(rng.randint(0, 70))]
         known = memory.values(wanted)
         assert all(known[one] == one.upper() for one in wanted)
-        assert len(memory.known) <= 50 and all(len(one) <= LONGEST for one in memory.known)
+        kept = [*memory.young, *memory.old]
+        assert len(kept) <= 50 and all(len(one) <= LONGEST for one in kept)
