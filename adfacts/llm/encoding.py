@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from typing import TypeVar
 
@@ -128,14 +128,15 @@ class WordEncoder:
                 ids += [np.array(one, dtype=np.uint32) for one in each]
         self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
 
-    def encode(self, texts: pa.Array, end_id: int) -> pa.Array:
-        """Per text, none null, its 32-bit little-endian ids and ``end_id`` behind them, as binary."""
+    def encode(self, texts: pa.Array, end_id: int) -> Iterator[list[np.ndarray]]:
+        """Per slice of texts, none null, the unsigned 32-bit ids of each and ``end_id`` behind them."""
         ends = np.cumsum(pc.binary_length(texts).to_numpy()) // self.SLICE_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
-        slices = [self._slice(texts[i:j], end_id) for i, j in zip(cuts, cuts[1:]) if i < j]
-        return pa.concat_arrays(slices) if slices else pa.array([], pa.binary())
+        for start, stop in zip(cuts, cuts[1:]):
+            if start < stop:
+                yield self._slice(texts[start:stop], end_id)
 
-    def _slice(self, texts: pa.Array, end_id: int) -> pa.Array:
+    def _slice(self, texts: pa.Array, end_id: int) -> list[np.ndarray]:
         if len(self.words) > self.KNOWN_WORDS or self.words.nbytes > self.KNOWN_BYTES:
             self._forget()
         split = pc.split_pattern_regex(texts, SPACES)
@@ -152,13 +153,9 @@ class WordEncoder:
         places = np.repeat(first[which] - ends + lengths, lengths)
         places += np.arange(total)
         borders = np.concatenate([[0], ends])[np.asarray(split.offsets) - split.offsets[0].as_py()]
-        flat = np.insert(self.ids[places], borders[1:], np.uint32(end_id)).astype("<u4", copy=False)
-        offsets = 4 * (borders + np.arange(len(borders)))
-        if offsets[-1] < 1 << 31:
-            buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(flat)]
-            return pa.Array.from_buffers(pa.binary(), len(texts), buffers)
-        parts = [flat[i // 4 : j // 4].tobytes() for i, j in zip(offsets, offsets[1:])]
-        return pa.array(parts, pa.binary())
+        flat = np.insert(self.ids[places], borders[1:], np.uint32(end_id))
+        cuts = (borders + np.arange(len(borders))).tolist()
+        return [flat[i:j] for i, j in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=4)

@@ -8,13 +8,13 @@ the compressed table of documents (id and length) and the footer: a JSON chunk i
 place, number of ids and plane lengths of every block, its own length, and the mark. A reader
 fetches any range of ids by reading the footer and the blocks that hold it.
 
-*Job.* Texts are encoded once into a scratch table of ids, which is sorted by range of document
-id, ties by content and place in that table, so that rows sharing one id spread over
-ranges as well. Each task writes its range as files of at most ``ids_per_file`` ids (or one
-document, if that is longer) under names of its own, holding one block in memory, and returns rows
-of the manifest. Spark commits the manifest, which alone says which files count: those
-of lost or repeated attempts are not in it, and readers never see them. First ids of
-files are a running sum over the manifest, one row per file.
+*Job.* Texts are sorted by range of document id, ties by content and row number, so that rows
+sharing one id spread over ranges as well; this is the only shuffle. Each task encodes its
+range and writes it as files of at most ``ids_per_file`` ids (or one document, if that is longer)
+under names of its own, holding a slice of texts and one block in memory, and returns rows of
+the manifest. Spark commits the manifest, which alone says which files count: those of
+lost or repeated attempts are not in it, and readers never see them. First ids of files are a
+running sum over the manifest, one row per file.
 
 Files are written and read through ``pyarrow.fs``, which knows file, s3, gs and hdfs addresses. The
 folder must be reachable from all executors; the files are the operator's output and stay.
@@ -38,16 +38,17 @@ import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from adfacts.llm.common import Scratch, whole_text, written
+from adfacts.llm.common import whole_text, written
 from adfacts.llm.encoding import WordEncoder, json_tokenizer, read_vocabulary
 
 MARK = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
 IDS_PER_FILE = 1 << 24
+BYTES_PER_ID = 2.5  # of text, about; only the number of ranges depends on it
 
 # planes
 
@@ -81,7 +82,7 @@ def plane_count(largest_id: int, kind: str) -> int:
 class FileWriter:
     """Appends documents to one file; at most one block of ids waits in memory."""
 
-    def __init__(self, path: str, largest_id: int, kind: str = "bit", block_ids: int = BLOCK_IDS):
+    def __init__(self, path: str, largest_id: int, kind: str = "byte", block_ids: int = BLOCK_IDS):
         if kind not in ("bit", "byte"):
             raise ValueError("planes are of kind bit or byte")
         self.path, self.kind, self.block_ids = path, kind, block_ids
@@ -180,16 +181,6 @@ class FileReader:
 # the jobs
 
 
-def encoded(text: Column, vocabulary: bytes, end_id: int) -> Column:
-    """Unsigned 32-bit little-endian ids of the whole text, then ``end_id``, as binary."""
-
-    @F.arrow_udf("binary")
-    def encode(texts: pa.Array) -> pa.Array:
-        return WordEncoder.of_worker(vocabulary).encode(texts, end_id)
-
-    return encode(text)
-
-
 MANIFEST = "part int, number int, path string, n_docs bigint, n_ids bigint"
 
 
@@ -198,7 +189,7 @@ def write_token_files(
     folder: str,
     vocabulary_path: str,
     end_id: int,
-    kind: str = "bit",
+    kind: str = "byte",
     block_ids: int = BLOCK_IDS,
     ids_per_file: int = IDS_PER_FILE,
 ) -> DataFrame:
@@ -212,45 +203,39 @@ def write_token_files(
     system, name = fs.FileSystem.from_uri(folder)
     system.create_dir(name, recursive=True)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, files, writer = TaskContext.get().partitionId(), [], None
-        attempt = uuid.uuid4().hex
+        attempt, encoder = uuid.uuid4().hex, WordEncoder.of_worker(vocabulary)
 
         def close() -> None:
             writer.close()
             files.append((part, len(files), writer.path, len(writer.lengths), writer.n_ids))
 
         for batch in batches:
-            for doc_id, null, data in zip(batch["doc_id"], batch["no_id"], batch["ids"]):
-                ids = np.frombuffer(data, dtype="<u4")
-                if writer and writer.n_ids + len(ids) > ids_per_file:
-                    close()
-                    writer = None
-                if writer is None:
-                    path = f"{folder}/ids-{part:06d}-{len(files):04d}-{attempt}.planes"
-                    writer = FileWriter(path, largest, kind, block_ids)
-                writer.add(None if null else int(doc_id), ids)
+            doc_ids = iter(batch.column("doc_id").to_pylist())
+            for some_ids in encoder.encode(batch.column("text"), end_id):
+                for ids, doc_id in zip(some_ids, doc_ids):
+                    if writer and writer.n_ids + len(ids) > ids_per_file:
+                        close()
+                        writer = None
+                    if writer is None:
+                        path = f"{folder}/ids-{part:06d}-{len(files):04d}-{attempt}.planes"
+                        writer = FileWriter(path, largest, kind, block_ids)
+                    writer.add(doc_id, ids)
         if writer:
             close()
-        yield pd.DataFrame(files, columns=["part", "number", "path", "n_docs", "n_ids"])
-
-    with Scratch(docs.sparkSession) as scratch:
-        ids = encoded(whole_text(), vocabulary, end_id).alias("ids")
-        tokens = scratch.table(docs.select(F.col("doc_id").cast("bigint"), ids), "token-ids")
-        total = tokens.agg(F.sum(F.length("ids") / 4)).first()[0] or 0
-        keyed = tokens.select(
-            F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
-            F.isnull("doc_id").alias("no_id"),
-            "ids",
-            F.xxhash64("ids").alias("tie"),
-            F.xxhash64("_metadata.file_path").alias("file"),
-            F.col("_metadata.row_index").alias("row"),
-        )
-        order = [F.desc("no_id"), "doc_id", "tie", "file", "row"]
-        parts = max(1, -(-int(total) // ids_per_file))
-        ranged = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-        rows = ranged.select("doc_id", "no_id", "ids").mapInPandas(write, MANIFEST)
-        manifest = written(rows, "token-files")
+        rows = [dict(zip(schema.names, file)) for file in files]
+        yield pa.RecordBatch.from_pylist(rows, schema)
+
+    numbers = [("n_docs", pa.int64()), ("n_ids", pa.int64())]
+    schema = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()), *numbers])
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = 1 + int(n_bytes / (BYTES_PER_ID * ids_per_file))
+    order = ["doc_id", "tie", "row"]
+    keyed = texts.select("*", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"))
+    ranged = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    manifest = written(ranged.select("doc_id", "text").mapInArrow(write, MANIFEST), "token-files")
     before = W.orderBy("part", "number").rowsBetween(W.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
