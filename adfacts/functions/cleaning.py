@@ -53,32 +53,50 @@ WHITESPACE = "".join(
     ]
 )
 
-# Date texts that are not ISO 8601: a shape test, then the patterns to try in
-# order. The shape test keeps the parser from failing its way down the list.
-# Month comes first; a day above 12 in first place is read day first.
-YEAR = r"\d{4}"
-DATE_PATTERNS: list[tuple[str, list[str]]] = [
-    (rf"^\d{{1,2}}/\d{{1,2}}/{YEAR}$", ["M/d/yyyy", "d/M/yyyy"]),
-    (r"^\d{1,2}/\d{1,2}/\d{2}$", ["M/d/yy", "d/M/yy"]),
-    (rf"^\d{{1,2}}-\d{{1,2}}-{YEAR}$", ["M-d-yyyy", "d-M-yyyy"]),
-    (rf"^{YEAR}/\d{{1,2}}/\d{{1,2}}$", ["yyyy/M/d"]),
-    (rf"^{YEAR}\d{{4}}$", ["yyyyMMdd"]),
-    (rf"^\d{{1,2}}-\p{{L}}+-{YEAR}$", ["d-MMM-yyyy", "d-MMMM-yyyy"]),
-    (rf"^\d{{1,2}} \p{{L}}+ {YEAR}$", ["d MMM yyyy", "d MMMM yyyy"]),
-    (r"^\d{1,2}-\p{L}+-\d{2}$", ["d-MMM-yy"]),
-    (rf"^\p{{L}}+ \d{{1,2}}, {YEAR}$", ["MMM d, yyyy", "MMMM d, yyyy"]),
-    (rf"^{YEAR}\.\d{{1,2}}\.\d{{1,2}}$", ["yyyy.M.d"]),
-    (rf"^\d{{1,2}}\.\d{{1,2}}\.{YEAR}$", ["M.d.yyyy", "d.M.yyyy"]),
+# Dates are parsed in two steps: replacements bring a text to one of the shapes below, and one
+# pattern with an optional section per shape reads them all. What most exports write is read
+# straight away. Month comes first; a number above 12 in first place is the day.
+COMMON_YEAR = r"(?:1[7-9]|20|21)\d{2}"
+COMMON_DATES = [
+    (rf"^{COMMON_YEAR}-\d{{1,2}}-\d{{1,2}}$", None),  # cast
+    (rf"^(?:0?[1-9]|1[0-2])/\d{{1,2}}/{COMMON_YEAR}$", "M/d/yyyy"),
+    (rf"^\d{{1,2}}-\p{{L}}{{3}}-{COMMON_YEAR}$", "d-MMM-yyyy"),
 ]
-ISO_DATE = rf"^{YEAR}-\d{{1,2}}-\d{{1,2}}$"
-ISO_DATE_TIME = rf"^{YEAR}-\d{{1,2}}-\d{{1,2}}[ T]\d{{1,2}}:\d{{2}}:\d{{2}}(\.\d{{1,9}})?$"
-# A time of day after any of the date shapes, and a weekday before them.
-TIME = r"[ T](\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,9})?))?(?: ?([AaPp])[Mm])?$"
-WEEKDAY = r"^\p{L}+, (?=\p{L})"
-# What a count of nanoseconds in 64 bits can hold, in whole days.
-FIRST_TIME, END_OF_TIME = "1677-09-22", "2262-04-12"
-# Two-digit years up to 68 are read as 20xx, from 69 as 19xx.
-LAST_SHORT_YEAR = 2068
+YEAR_LESS_69 = r"0\d|[1-5]\d|6[0-8]"
+DATE_STEPS: list[tuple[str, str]] = [
+    # a weekday in front
+    (r"^(?i:mon|tue|wed|thu|fri|sat|sun)\p{L}*,? (?=\p{L}|\d)", ""),
+    # Sept, 5th, the dot of Jan. and the comma behind a day
+    (r"(?i)t(?<=\bsept)\b\.?|(?:st|nd|rd|th)\b(?<=\d..)|\.(?= )(?<=\b\p{L}{3}\.)|,(?= \d)", ""),
+    # two-digit years: up to 68 they are 20xx, from 69 19xx
+    (rf"^(\d{{1,2}}([/.-])(?:\d{{1,2}}|\p{{L}}+)\2)((?:{YEAR_LESS_69})(?!\d))", "$120$3"),
+    (r"^(\d{1,2}([/.-])(?:\d{1,2}|\p{L}+)\2)(\d{2}(?!\d))", "$119$3"),
+    # numbers only
+    (r"^(1[3-9]|[23]\d)([/.-])(\d{1,2})\2(\d{4})(?!\d)", "$3/$1/$4"),
+    (r"^(\d{1,2})([.-])(\d{1,2})\2(\d{4})(?!\d)", "$1/$3/$4"),
+    (r"^(\d{4})([/.])(\d{1,2})\2(\d{1,2})(?!\d)", "$1-$3-$4"),
+    # month names between blanks, hyphens, dots or nothing: a blank on either side
+    (r"^(\d+)[ ./-]?(\p{L}{3,9})[ ./-]?(\d+)(?!\d)", "$1 $2 $3"),
+    (r"^(\p{L}{3,9})[ ./-]?(\d{1,2})[ ./-](\d{4})(?!\d)", "$1 $2 $3"),
+    # a compact time, an hour alone, zones by name, and no zone at all, which counts as UTC
+    (r"(?<=^\d{8}T)(\d{2})(\d{2})(\d{2})(?!\d)", "$1:$2:$3"),
+    (r"(?<=\d[ T]\d{1,2})(?=$|Z|[+-]\d)", ":00"),
+    (r"(?<=\d)(?: ?[Zz]| (?:UTC|GMT))$", "Z"),
+    (r"$(?<!Z|:\d{2}(?:\.\d{1,9})? ?[+-]\d{2}(?::?\d{2})?)", "Z"),
+]
+DATE_SHAPE = (
+    r"^(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{8}|\d{1,2} \p{L}{3,9} \d{4}"
+    r"|\d{4} \p{L}{3,9} \d{1,2}|\p{L}{3,9} \d{1,2} \d{4})"
+    r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?: ?[AaPp][Mm])?)?(?:Z| ?[+-]\d{2}(?::?\d{2})?)$"
+)
+DATE_PATTERN = (
+    "[yyyy-M-d][M/d/yyyy][yyyyMMdd][d MMMM yyyy][d MMM yyyy][yyyy MMMM d][yyyy MMM d]"
+    "[MMMM d yyyy][MMM d yyyy]"
+    "[ h:mm[:ss][ ]a]['T'h:mm[:ss][ ]a][ H:mm[:ss[.SSSSSSSSS]]]['T'H:mm[:ss[.SSSSSSSSS]]][ ]"
+    "[XXX][XX][X]"
+)
+# Times are what a count of nanoseconds in 64 bits can hold.
+NANOS_PER_MICRO = 1000
 
 # A plain decimal number. Anything else is malformed: 12d, 0x1A, inf and NaN, which Spark's
 # own cast would let through.
@@ -117,36 +135,36 @@ def to_count(text: Column) -> Column:
 def to_date_time(text: Column, extra_patterns: Sequence[tuple[str, list[str]]] = ()) -> Column:
     """Date text without outer blanks to a timestamp without time zone.
 
-    Shapes not listed above, or in ``extra_patterns``, are NULL.
+    A text with a zone offset is converted to UTC. Shapes not listed above, or in
+    ``extra_patterns`` (a test of the whole text, and the patterns to try), are NULL.
     """
-    iso = F.when(text.rlike(ISO_DATE), text.try_cast("date").cast("timestamp_ntz"))
-    iso = iso.when(text.rlike(ISO_DATE_TIME), text.try_cast("timestamp_ntz"))
-    # Everything else may hold a time of day and a weekday besides one of the date shapes.
-    timed = text.rlike(TIME)
-    day_text = F.when(timed, F.regexp_replace(text, TIME, "")).otherwise(text)
-    day_text = F.regexp_replace(day_text, WEEKDAY, "")
-    day = F.when(day_text.rlike(ISO_DATE), day_text.try_cast("date"))
-    for shape, patterns in [*DATE_PATTERNS, *extra_patterns]:
-        tries = [F.try_to_date(day_text, pattern) for pattern in patterns]
-        found = F.coalesce(*tries)
-        if not any("yyyy" in pattern for pattern in patterns):
-            late = F.year(found) > LAST_SHORT_YEAR
-            found = F.when(late, F.add_months(found, -1200)).otherwise(found)
-        day = day.when(day_text.rlike(shape), found)
-    hour, minute, second = (F.regexp_extract(text, TIME, i) for i in (1, 2, 3))
-    half = F.lower(F.regexp_extract(text, TIME, 4))
-    hours = hour.try_cast("int")
-    good = (minute.try_cast("int") < 60) & (F.coalesce(second.try_cast("double"), F.lit(0.0)) < 60)
-    good = good & F.when(half == "", hours < 24).otherwise(hours.between(1, 12))
-    hours = F.when(half == "", hours).otherwise(hours % 12 + F.when(half == "p", 12).otherwise(0))
-    seconds = F.coalesce(second.try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)"))
+
+    def parsed(text: Column) -> Column:
+        (plain, _), *common = COMMON_DATES
+        dates = F.when(text.rlike(plain), text.try_cast("date"))
+        for shape, pattern in common:
+            dates = dates.when(text.rlike(shape), F.try_to_date(text, pattern))
+        extra = [
+            F.when(text.rlike(shape), F.try_to_date(text, pattern)).cast("timestamp_ntz")
+            for shape, patterns in extra_patterns
+            for pattern in patterns
+        ]
+        return F.coalesce(dates.cast("timestamp_ntz"), _any_date_time(text), *extra)
+
+    # As the body of a function on one element, the text is computed once and the steps stay out
+    # of the code that Spark generates for the row, which would be too long to be compiled.
+    return F.get(F.transform(F.array(text), parsed), F.lit(0))
+
+
+def _any_date_time(text: Column) -> Column:
+    for shape, replacement in DATE_STEPS:
+        text = F.regexp_replace(text, shape, replacement)
+    instant = F.try_to_timestamp(F.regexp_substr(text, F.lit(DATE_SHAPE)), F.lit(DATE_PATTERN))
+    # the product is NULL beyond 64 bits
+    nanos = F.try_multiply(F.unix_micros(instant), F.lit(NANOS_PER_MICRO).cast("bigint"))
+    seconds = (nanos.cast("decimal(20,0)") / F.lit(10**9)).cast("decimal(18,6)")
     zero = F.lit(0)
-    after = F.make_dt_interval(zero, hours, minute.try_cast("int"), seconds)
-    midnight = day.cast("timestamp_ntz")
-    other = F.when(~timed, midnight).when(good, midnight + after)
-    parsed = F.coalesce(iso, other)
-    first, end = (F.lit(d).cast("timestamp_ntz") for d in (FIRST_TIME, END_OF_TIME))
-    return F.when((parsed >= first) & (parsed < end), parsed)
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
 
 
 def campaign_id(platform: str, name: Column) -> Column:

@@ -137,3 +137,41 @@ def test_long_exponents_are_numbers_and_overflow_is_not(spark):
     texts = ["1e+005", "1.5E-007", "1e100", "1" * 250, "1e400", "-1e999"]
     got = apply(spark, cleaning.to_double, texts)
     assert got == [1e5, 1.5e-7, 1e100, float("1" * 250), None, None]
+
+
+AS_PANDAS_READS_THEM = """
+2024-01-15T10:00:00Z|2024-01-15T10:00:00+02:00|2024-01-15T10:00:00-0530|2024-01-15T10:00:00+02
+2024-01-15 10:00:00 UTC|2024-01-15 10:00:00 GMT|2024-01-15 10:00:00+00:00|2024-01-15T10:00Z
+2024-01-15T10:00:00.123Z|2024-01-15 10:00:00 +0200|1/15/2024 10:00 +01:00|2024-01-15T10:11:12.123456
+Jan 15 2024|2024-Jan-15|2024-01-15T10|2024-01-15 10|Sept 5, 2024|5 Sept 2024|Sep 5, 2024
+Mon, 15 Jan 2024 10:00:00 GMT|Mon Jan 15 2024|Jan 5th, 2024|5th January 2024|Jan. 5, 2024|15Jan2024
+15/Jan/2024|Jan-15-2024|2024 Jan 15|20240115T101112|20240115 10:11|1/15/2024 10:00:00.250
+24-01-15|2024-13-01|29/2/2023|Feb 30, 2024|Foo 5, 2024|2024-01-15x|x2024-01-15|0/1/2024|2024-01-15 10:61
+Sunday|2/29/2024|13-1-2024|1.2.2024|2262-04-12|2262-04-11|1677-09-22|1677-09-21
+"""
+
+
+def test_dates_agree_with_pandas(spark):
+    texts = AS_PANDAS_READS_THEM.replace("\n", "|").strip("|").split("|")
+    expected = []
+    for text in texts:
+        value = pd.to_datetime(pd.Series([text]), format="mixed", errors="coerce")[0]
+        value = value.tz_convert("UTC").tz_localize(None) if value.tzinfo else value
+        expected.append(None if pd.isna(value) else value.to_pydatetime())
+    got = apply(spark, cleaning.to_date_time, texts)
+    assert dict(zip(texts, got)) == dict(zip(texts, expected))
+
+
+def test_code_generated_for_parsing_is_compiled(spark, exports):
+    """Methods of more than 8,000 bytes are run by the interpreter, those over 64 KB not built."""
+    from adfacts import ingest
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = ingest(spark, exports)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    parts = getattr(debug, "MODULE$").codegenStringSeq(plan)
+    sizes = [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+    assert sizes and all(0 < size < 8000 for size in sizes)

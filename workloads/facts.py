@@ -233,6 +233,21 @@ def raw_exports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"google_ads": google, "meta_ads": meta, "microsoft_ads": microsoft}
 
 
+def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ship days as ``date_text``, in further shapes that exports use, one row per ``lineitem`` row."""
+    shapes = [
+        "yyyy-MM-dd'T10:00:00Z'", "yyyy-MM-dd'T00:30:00+02:00'", "MMM d yyyy", "yyyy-MMM-dd",
+        "yyyy-MM-dd'T10'", "MMMM d, yyyy", "M/d/yyyy '1:05 PM'", "yyyy-MM-dd '23:59:59 UTC'",
+        "E, dd MMM yyyy", "yyyy.MM.dd", "yyyyMMdd", "yyyy-MM-dd'T04:00:00.250-0530'",
+    ]
+    line = table(spark, sf_dir, "lineitem")
+    which = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % len(shapes)
+    text = F.lit(None).cast("string")
+    for number, shape in enumerate(shapes):
+        text = F.when(which == number, F.date_format("l_shipdate", shape)).otherwise(text)
+    return line.select(text.alias("date_text"))
+
+
 _written: dict[tuple[str, str], dict[str, str]] = {}
 
 

@@ -383,6 +383,27 @@ ORACLE: dict[str, str] = {
                 CASE WHEN date IS NULL THEN '2024-02-30' ELSE strftime(day, '%-d-%b-%Y') END
             ELSE CASE WHEN date IS NULL THEN '10:30' ELSE strftime(day, '%-m/%-d/%Y') END
         END AS date_text, date, count(*) AS row_count FROM ({RAW}) GROUP BY ALL""",
+    "parse_date_shapes": """SELECT date_text, date, count(*) AS row_count FROM (
+            SELECT CASE which
+                WHEN 0 THEN strftime(day, '%Y-%m-%dT10:00:00Z')
+                WHEN 1 THEN strftime(day, '%Y-%m-%dT00:30:00+02:00')
+                WHEN 2 THEN strftime(day, '%b %-d %Y')
+                WHEN 3 THEN strftime(day, '%Y-%b-%d')
+                WHEN 4 THEN strftime(day, '%Y-%m-%dT10')
+                WHEN 5 THEN strftime(day, '%B %-d, %Y')
+                WHEN 6 THEN strftime(day, '%-m/%-d/%Y 1:05 PM')
+                WHEN 7 THEN strftime(day, '%Y-%m-%d 23:59:59 UTC')
+                WHEN 8 THEN strftime(day, '%a, %d %b %Y')
+                WHEN 9 THEN strftime(day, '%Y.%m.%d')
+                WHEN 10 THEN strftime(day, '%Y%m%d')
+                ELSE strftime(day, '%Y-%m-%dT04:00:00.250-0530') END AS date_text,
+            CAST(day AS TIMESTAMP) + CASE which
+                WHEN 0 THEN INTERVAL 10 HOUR WHEN 1 THEN INTERVAL -90 MINUTE
+                WHEN 4 THEN INTERVAL 10 HOUR WHEN 6 THEN INTERVAL 785 MINUTE
+                WHEN 7 THEN INTERVAL 86399 SECOND WHEN 11 THEN INTERVAL 34200250 MILLISECOND
+                ELSE INTERVAL 0 HOUR END AS date
+            FROM (SELECT CAST(l_shipdate AS DATE) AS day, (l_orderkey * 7 + l_linenumber) % 12 AS which
+                FROM lineitem)) GROUP BY date_text, date""",
     "validate_canonical": _validated(DIRTY),
     "quality_audit": _audit(),
     "revenue_null_audit": f"""WITH v AS ({_validated(DIRTY)})

@@ -120,6 +120,11 @@ def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def parse_date_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = facts.date_texts(spark, sf_dir).withColumn("date", cleaning.to_date_time(F.col("date_text")))
+    return read.groupBy("date_text", "date").agg(F.count("*").alias("row_count"))
+
+
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_audit(
         union(sources(spark, sf_dir, audit=True)), F.lit(datetime.date(2001, 6, 1))
@@ -331,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "coerce_counts": coerce_counts,
     "revenue_sanitise": revenue_sanitise,
     "parse_dates": parse_dates,
+    "parse_date_shapes": parse_date_shapes,
     "validate_canonical": on_facts(facts.dirty_facts, validate),
     "quality_audit": audit,
     "revenue_null_audit": on_facts(
