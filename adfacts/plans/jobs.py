@@ -24,7 +24,8 @@ from adfacts.operators.rollups import prediction_stats
 from adfacts.operators.series import SkewPolicy
 from adfacts.plans import forecast, report
 from adfacts.plans.config import JobConfig
-from adfacts.session import build_session, shared_folder
+from adfacts.plans.publish import Publication
+from adfacts.session import Scratch, build_session, written
 from adfacts.sources import SOURCES, ingest
 from adfacts.sources.exports import Paths
 
@@ -46,24 +47,12 @@ class RunResult:
     importance: DataFrame | None
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate table to the shared folder and read it back.
-
-    The exports are then parsed once, later steps read columns instead of text, and
-    a lost executor costs no more than its own part.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _ingested(
     spark: SparkSession, paths: Mapping[str, Paths | None], multi_line: bool
 ) -> tuple[DataFrame, DataFrame]:
     """The written fact table, and one row of audit counts per platform, taken while writing."""
     audits = {p: Observation(f"audit-{p}-{uuid.uuid4().hex}") for p, path in paths.items() if path}
-    unified = _written(ingest(spark, paths, multi_line=multi_line, audits=audits), "unified")
+    unified = written(ingest(spark, paths, multi_line=multi_line, audits=audits), "unified")
     counts = [{"platform": p, **audits[p].get} for p in sorted(audits)]
     kinds = {"platform": "string", "min_date": "timestamp_ntz", "max_date": "timestamp_ntz"}
     schema = ", ".join(f"{name} {kinds.get(name, 'bigint')}" for name in counts[0])
@@ -79,9 +68,13 @@ def run_training(
     policy: SkewPolicy = SkewPolicy(),
     multi_line: bool = True,
 ) -> RunResult:
-    """Ingest, derive features, train, and evaluate over all rows with a known target."""
+    """Ingest, derive features, train, and evaluate over all rows with a known target.
+
+    The tables of the result lie in the shared folder. Run it within ``with Scratch(spark):`` to
+    have them deleted at the end of that block.
+    """
     unified, audit = _ingested(spark, paths, multi_line)
-    features = _written(feature_table(unified, policy), "features")
+    features = written(feature_table(unified, policy), "features")
     matrix = forecast.model_matrix(features, config)
     matrix = forecast.hash_split(matrix, config.test_size, config.random_state)
     training = forecast.train(
@@ -90,8 +83,9 @@ def run_training(
         config.test_size,
         config.random_state,
         model_path=config.model_path if save else None,
+        patience=config.early_stopping_rounds,
     )
-    scored = _written(
+    scored = written(
         forecast.score(training.model, matrix, (forecast.LABEL, forecast.IS_VALIDATION)), "scored"
     )
     importance = None
@@ -137,33 +131,43 @@ def run_scoring(
     policy: SkewPolicy = SkewPolicy(),
     multi_line: bool = True,
 ) -> DataFrame:
-    """Score the exports; write predictions to ``output``, four reports next to it.
+    """Score the exports; write predictions to ``output``, reports and a manifest next to it.
 
     They are named after it: ``<output>_insights``, ``<output>_summary``,
-    ``<output>_statistics`` (of the predictions) and ``<output>_audit`` (rows dropped and
-    mended per platform; written first). The first three read the written predictions, so the
-    model runs once per row.
+    ``<output>_statistics`` (of the predictions), ``<output>_audit`` (rows dropped and
+    mended per platform) and ``<output>_manifest`` (rows read, dropped and scored). The first three
+    read the written predictions, so the model runs once per row. All are written to a staging
+    folder beside ``output`` and replace earlier ones only when every one is complete; if there
+    is no row to score, or anything fails, earlier outputs stay as they were.
     """
     started = time.monotonic()
     if isinstance(model, str):
         model = forecast.load_model(spark, model)
-    unified, audit = _ingested(spark, paths, multi_line)
-    scored = forecast.score(model, feature_table(unified, policy))
-    name = output.rstrip("/")
-    audit.write.mode("overwrite").json(f"{name}_audit")
-    write_predictions(scored, output, file_format)
-    predictions = read_predictions(spark, output, scored.schema, file_format)
-    if predictions.isEmpty():
-        raise ValueError("nothing to score: no valid row in the exports")
-    prediction_stats(predictions).write.mode("overwrite").json(f"{name}_statistics")
-    elapsed = time.monotonic() - started
-    rollup = report.campaign_rollup(predictions)
-    report.write_lines(report.insights_report(predictions, elapsed, rollup), f"{name}_insights")
-    report.write_document(
-        report.summary_json(predictions, elapsed_seconds=elapsed, rollup=rollup),
-        f"{name}_summary",
-    )
-    return predictions
+    with Scratch(spark), Publication(spark, output) as out:
+        unified, audit = _ingested(spark, paths, multi_line)
+        rows_read, kept = audit.agg(F.sum("row_count"), F.sum("kept_rows")).first()
+        if not kept:
+            raise ValueError("nothing to score: no valid row in the exports")
+        scored = forecast.score(model, feature_table(unified, policy))
+        staged = out.stage()
+        write_predictions(scored, staged, file_format)
+        predictions = read_predictions(spark, staged, scored.schema, file_format)
+        audit.write.json(out.stage("_audit"))
+        statistics = prediction_stats(predictions)
+        n_scored = statistics.first()["row_count"]
+        if n_scored != kept:
+            raise RuntimeError(f"{n_scored} predictions were written for {kept} valid rows")
+        statistics.write.json(out.stage("_statistics"))
+        elapsed = time.monotonic() - started
+        rollup = report.campaign_rollup(predictions)
+        insights = report.insights_report(predictions, elapsed, rollup)
+        report.write_lines(insights, out.stage("_insights"))
+        summary = report.summary_json(predictions, elapsed_seconds=elapsed, rollup=rollup)
+        report.write_document(summary, out.stage("_summary"))
+        counts = [(rows_read, rows_read - kept, n_scored)]
+        manifest = spark.createDataFrame(counts, "rows_read bigint, rows_dropped bigint, rows_scored bigint")
+        manifest.coalesce(1).write.json(out.stage("_manifest"))
+    return read_predictions(spark, output, scored.schema, file_format)
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -200,13 +204,16 @@ def main(arguments: list[str] | None = None) -> None:
             random_state=given.seed,
             test_size=given.test_size,
         )
-        result = run_training(
-            spark, exports(config), config, save=True, multi_line=several_lines
-        )
-        for row in result.audit.collect():  # one per platform
-            print(f"{row['platform']}: {row['kept_rows']} of {row['row_count']} rows kept")
+        with Scratch(spark):
+            result = run_training(
+                spark, exports(config), config, save=True, multi_line=several_lines
+            )
+            for row in result.audit.collect():  # one per platform
+                print(f"{row['platform']}: {row['kept_rows']} of {row['row_count']} rows kept")
         scores = result.training
         print(f"rmse={scores.rmse:.4f} mae={scores.mae:.4f} r2={scores.r2:.4f}")
+        if scores.best_round:
+            print(f"best round={scores.best_round} of {len(scores.validation_curve)} looked at")
         print(f"train rows={scores.train_rows} validation rows={scores.validation_rows}")
     else:
         config = JobConfig(data_dir=given.data_dir)

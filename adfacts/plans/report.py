@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from adfacts.operators.rollups import date_range_label, with_share
-from adfacts.session import ensure_checkpoint_dir
+from adfacts.session import written
 
 TOP_CAMPAIGNS = 5
 
@@ -30,11 +30,10 @@ def _pad_right(text: Column, width: int) -> Column:
 def campaign_rollup(df: DataFrame) -> DataFrame:
     """All a report needs, one row per platform and campaign name.
 
-    Written to the checkpoint folder, so that the report's many small figures read
+    Written to the shared folder, so that the report's many small figures read
     these few rows and the predictions are read once.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return (
+    rollup = (
         df.groupBy("platform", "campaign_name")
         .agg(
             F.sum("prediction").alias("total_revenue"),
@@ -42,8 +41,8 @@ def campaign_rollup(df: DataFrame) -> DataFrame:
             F.min("date").alias("min_date"),
             F.max("date").alias("max_date"),
         )
-        .checkpoint()
     )
+    return written(rollup, "campaign-rollup")
 
 
 def _figures() -> list[Column]:

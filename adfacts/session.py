@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,13 +49,62 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
+_scope: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+class Scratch:
+    """A scope whose tables in the shared folder are deleted at its end, also after a failure.
+
+    Within ``with Scratch(spark):`` everything that ``write_shared`` writes belongs to the innermost
+    scope. Outside any scope tables stay.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        self._outer = _scope.set(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _scope.reset(self._outer)
+        for path in self.paths:
+            delete_folder(self.spark, path)
+
+
 def write_shared(df: DataFrame, label: str) -> str:
     """Write ``df`` as a Parquet table of its own in the shared folder; returns its path."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    scope = _scope.get()
+    if scope is not None:
+        scope.paths.append(path)  # before writing: a write that fails leaves files too
     df.write.parquet(path)
     return path
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, and safe when executors go."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_shared(df, label))
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename within one file system, making the target's parent; False if there is no source."""
+    files, folder = _file_system(spark, source)
+    if not files.exists(folder):
+        return False
+    _, goal = _file_system(spark, target)
+    files.mkdirs(goal.getParent())
+    if not files.rename(folder, goal):
+        raise OSError(f"{source} cannot be renamed to {target}")
+    return True

@@ -93,6 +93,48 @@ def test_training_result(result, matrix):
         result.rmse = 0.0
 
 
+def test_patience():
+    losses = [9.0, 5.0, 6.0, 5.0, 7.0, 4.0, 8.0]
+    assert forecast.best_round(losses, 10) == (6, tuple(losses))
+    assert forecast.best_round(losses, 3) == (2, (9.0, 5.0, 6.0, 5.0, 7.0))
+    assert forecast.best_round([3.0], 1) == (1, (3.0,))
+    with pytest.raises(ValueError):
+        forecast.best_round(losses, 0)
+
+
+def test_best_round_is_kept(spark, tmp_path):
+    """Deep trees at full step learn noise: the validation loss turns up long before the end."""
+    rng = random.Random(11)
+    rows = []
+    for n in range(240):
+        x = [rng.gauss(0, 1) for _ in range(3)]
+        day = datetime.datetime(2024, 1, 1) + datetime.timedelta(days=n)
+        rows.append((day, *x, 10 * x[0] + rng.gauss(0, 12)))
+    matrix = spark.createDataFrame(rows, "date timestamp_ntz, f0 double, f1 double, f2 double, label double")
+    matrix = forecast.hash_split(matrix, 0.4, 1, ["date"]).persist()
+    params = dict(maxIter=12, maxDepth=5, maxBins=16, stepSize=0.3, minInstancesPerNode=1)
+    path = str(tmp_path / "model")
+    result = forecast.train(matrix, forecast.boosting(params), patience=4, model_path=path)
+    curve = result.validation_curve
+    assert result.best_round == curve.index(min(curve)) + 1 < 12
+    assert len(curve) == min(12, result.best_round + 4)
+    fitted = result.model.stages[-1]
+    assert len(fitted.trees) == result.best_round and fitted.numFeatures == 6
+    assert fitted.getStepSize() == 0.3
+    # the scores are those of the prefix, before and after saving
+    assert result.rmse**2 == pytest.approx(min(curve))
+    held_out = matrix.where("is_validation")
+    loaded = forecast.load_model(spark, path)
+    assert len(loaded.stages[-1].trees) == result.best_round
+    scored = forecast.score(loaded, held_out, ["label"])
+    error = scored.agg(F.avg((F.col("prediction") - F.col("label")) ** 2)).first()[0]
+    assert error == pytest.approx(min(curve))
+    assert {r["feature"] for r in forecast.feature_importance(spark, loaded).collect()} == {"f0", "f1", "f2"}
+    # without patience the estimator's own tolerance stops it, and nothing is recorded
+    plain = forecast.train(matrix, forecast.boosting({**params, "maxIter": 3}), patience=None)
+    assert plain.best_round is None and plain.validation_curve == ()
+
+
 def test_scoring_keeps_keys_and_rows(result, matrix):
     scores = forecast.score(result.model, matrix)
     assert scores.columns == ["date", "platform", "campaign_id", "campaign_name", "prediction"]

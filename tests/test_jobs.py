@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import datetime
 import json
+import pathlib
 import random
 
 import pytest
 
+from adfacts import session
 from adfacts.operators.series import SkewPolicy
-from adfacts.plans import forecast, jobs
+from adfacts.plans import forecast, jobs, publish
 from adfacts.plans.config import JobConfig
 
 
@@ -105,6 +107,55 @@ def test_scoring_needs_model_and_exports(spark, config, trained, tmp_path):
         )
 
 
+def shared_names(spark):
+    folder = session.shared_folder(spark)
+    return {p.name for p in pathlib.Path(folder.removeprefix("file:")).glob("*")}
+
+
+def test_an_empty_export_leaves_earlier_outputs(spark, config, trained, tmp_path):
+    output, empty = tmp_path / "out" / "p", tmp_path / "empty.csv"
+    jobs.run_scoring(spark, config.export_paths, trained.training.model, str(output))
+    before = {p: p.read_bytes() for p in sorted((tmp_path / "out").rglob("*")) if p.is_file()}
+    manifest = "".join(p.read_text() for p in (tmp_path / "out").glob("p_manifest/part-*"))
+    assert json.loads(manifest) == {"rows_read": 540, "rows_dropped": 0, "rows_scored": 540}
+    header = pathlib.Path(config.export_paths["google_ads"]).read_text().splitlines()[0]
+    empty.write_text(header + "\n")
+    tables = shared_names(spark)
+    with pytest.raises(ValueError, match="nothing to score"):
+        jobs.run_scoring(spark, {"google_ads": str(empty)}, trained.training.model, str(output))
+    assert {p: p.read_bytes() for p in sorted((tmp_path / "out").rglob("*")) if p.is_file()} == before
+    assert shared_names(spark) == tables  # no scratch table stays behind
+    jobs.run_scoring(spark, config.export_paths, trained.training.model, str(output))
+    assert shared_names(spark) == tables
+    assert len(list((tmp_path / "out").iterdir())) == 6
+
+
+def test_publication_returns_what_was_there(spark, tmp_path):
+    for name in ("p", "p_a"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x").write_text("old")
+    (tmp_path / "p_b").write_text("a file is in the way of nothing: it is moved aside too")
+    with publish.Publication(spark, str(tmp_path / "p")) as out:
+        for suffix in ("", "_a", "_b"):
+            pathlib.Path(out.stage(suffix)).mkdir(parents=True)
+            (pathlib.Path(out.folder) / f"new{suffix}" / "x").write_text("new")
+    assert [(tmp_path / n / "x").read_text() for n in ("p", "p_a", "p_b")] == ["new"] * 3
+
+    def fail(spark, source, target):
+        if "new_a" in source:
+            raise OSError("no")
+        return session.move_folder(spark, source, target)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(publish, "move_folder", fail)
+        with pytest.raises(OSError), publish.Publication(spark, str(tmp_path / "p")) as out:
+            for suffix in ("", "_a"):
+                pathlib.Path(out.stage(suffix)).mkdir(parents=True)
+                (pathlib.Path(out.folder) / f"new{suffix}" / "x").write_text("newer")
+    assert [(tmp_path / n / "x").read_text() for n in ("p", "p_a", "p_b")] == ["new"] * 3
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["p", "p_a", "p_b"]
+
+
 def test_rows_lost_are_counted_by_column(spark, tmp_path):
     header = "segments_date,campaign_name,metrics_impressions,metrics_clicks,metrics_cost_micros,metrics_conversions,metrics_conversions_value"
     lines = [

@@ -53,6 +53,34 @@ def test_median_is_exact(spark, values, bins, final_rows):
     assert exact_median(df, "v", bins, final_rows) == statistics.median(values)
 
 
+@pytest.mark.parametrize("final_rows", [100_000, 1_000, 10])
+def test_median_from_the_bracket_of_the_sketch(spark, final_rows):
+    rng = random.Random(5)
+    for values in (
+        [rng.lognormvariate(0, 3) for _ in range(30_001)],
+        [float(rng.randrange(40)) for _ in range(30_000)],
+        [1.0] * 15_000 + [2.0] * 15_000,
+    ):
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7)
+        assert exact_median(df, "v", final_rows=final_rows) == statistics.median(values)
+
+
+def test_statistics_take_two_passes(spark, tmp_path):
+    rows = [(float(i % 997),) for i in range(20_000)]
+    spark.createDataFrame(rows, "prediction double").write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # one job per action
+    spark.sparkContext.setJobGroup("statistics", "")
+    try:
+        result = rollups.prediction_stats(df)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("statistics")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 3
+    assert result.first()["median_prediction"] == statistics.median(v for v, in rows)
+
+
 def test_median_of_nothing(spark):
     assert exact_median(spark.createDataFrame([], "v double"), "v") is None
 

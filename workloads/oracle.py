@@ -398,7 +398,7 @@ ORACLE: dict[str, str] = {
                 WHEN 10 THEN strftime(day, '%Y%m%d')
                 ELSE strftime(day, '%Y-%m-%dT04:00:00.250-0530') END AS date_text,
             CAST(day AS TIMESTAMP) + CASE which
-                WHEN 0 THEN INTERVAL 10 HOUR WHEN 1 THEN INTERVAL -90 MINUTE
+                WHEN 0 THEN INTERVAL 10 HOUR WHEN 1 THEN INTERVAL (-90) MINUTE
                 WHEN 4 THEN INTERVAL 10 HOUR WHEN 6 THEN INTERVAL 785 MINUTE
                 WHEN 7 THEN INTERVAL 86399 SECOND WHEN 11 THEN INTERVAL 34200250 MILLISECOND
                 ELSE INTERVAL 0 HOUR END AS date
