@@ -3,9 +3,11 @@
 The page becomes a tree of nodes. What is never article text (scripts, styles, forms, menus,
 headers, footers, sidebars, notices, adverts, comments: by tag, role, class or id) is cut away
 first. Class names that only speak of such a part (``has-sidebar``, ``no-sidebar``) do not count, nor do
-header names inside an article. A form that holds more than half of the text, or a form or
-an element named so that holds the page's only ``article`` or ``main``, is none of these; a form's
-controls are. For every other node, with its characters C, tags T, link characters LC and link tags LT:
+header names inside an article; there a paragraph, list item or table cell counts only if a whole
+class says so (``notice``, not ``notice-board``). A form or an element named so is none of these if
+it holds the page's only ``article`` or ``main``, or, on a page without one, more than half of the text (comments
+excepted), so that the wrapper ``layout sidebar-right`` keeps its article; a form that holds so much never
+is. A form's controls are. For every other node, with its characters C, tags T, link characters LC and link tags LT:
 
     density = C/T * log(C/LC * T/LT) / log(ln(C/(C-LC) * LC + LC_body/C_body * C + e))
 
@@ -16,7 +18,8 @@ content. Subtrees are joined in page order, each block by block. Of subtrees ins
 or ``main`` that whole element is taken, and then none outside one.
 
 White space inside a block becomes one blank, a line break included; character references are
-decoded. Nothing else is dropped or capped.
+decoded. Declarations in mark-up (``<![...``) end with their next ``>``, whatever they hold. Nothing
+else is dropped or capped.
 
 Defined results: null and empty pages, and pages without text, give the empty text. Text
 outside any element counts as the body's. Unclosed tags end with their parent or the next block
@@ -58,40 +61,47 @@ NOISE = re.compile(
     r"widget|toolbar|pagination|pager|login|signup|skip)(?:$|[\s_-])",
     re.I,
 )
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|replies|respond)(?:$|[\s_-])", re.I)
+# Elements of running text: inside an article only a whole class name makes them noise.
+TEXT_PARTS = set("p h1 h2 h3 h4 h5 h6 li dd dt td th blockquote pre figcaption span em strong b i a".split())
 HEADING = re.compile(r"(?:^|[_-])(?:header|masthead)(?:$|[_-])", re.I)
 SPEAKS_OF = re.compile(r"(?:^|[_-])(?:has|have|no|not|with|without|hide)[_-]", re.I)
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "children", "parent", "noise", "doubtful", "chars", "tags", "link_chars", "link_tags",
-                 "density", "total")
+    __slots__ = ("tag", "children", "parent", "depth", "noise", "doubtful", "comments", "chars", "tags",
+                 "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, noise: bool) -> None:
-        self.tag, self.parent, self.noise, self.doubtful = tag, parent, noise, False
+        self.tag, self.parent, self.noise = tag, parent, noise
+        self.doubtful = self.comments = False
+        self.depth = parent.depth + 1 if parent else 0
         self.children: list[Node | str] = []
         self.density = self.total = 0.0
         self.chars = self.tags = self.link_chars = self.link_tags = 0
 
 
-def _is_noise(tag: str, attributes: dict[str, str | None], parent: Node) -> bool:
+def _is_noise(tag: str, attributes: dict[str, str | None], in_article: bool) -> bool:
     if tag in SILENT - {"form"} or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
     if (attributes.get("role") or "").lower() in ROLES:
         return True
     if tag == "header":  # an article's own heading is part of it
-        return not _inside(parent, {"article", "main"})
+        return not in_article
     return False
 
 
-def _is_doubtful(tag: str, attributes: dict[str, str | None], parent: Node) -> bool:
+def _is_doubtful(tag: str, attributes: dict[str, str | None], in_article: bool) -> bool:
     """Noise by name or as a form, unless it turns out to hold the content."""
     if tag in {"body", "html", "article", "main", "header"}:
         return False
     names = f"{attributes.get('class') or ''} {attributes.get('id') or ''}".split()
     names = [n for n in names if not SPEAKS_OF.search(n)]
-    if any(HEADING.search(n) for n in names) and _inside(parent, {"article", "main"}):
+    if in_article and any(HEADING.search(n) for n in names):
         names = [n for n in names if not HEADING.search(n)]
+    if in_article and tag in TEXT_PARTS:
+        return any((found := NOISE.search(n)) and found.group() == n for n in names)
     return tag == "form" or any(NOISE.search(n) for n in names)
 
 
@@ -119,23 +129,17 @@ def _settle_doubtful(root: Node) -> None:
             if node.parent is not None:
                 holds.add(node.parent)
     for node in order:
-        large = node.tag == "form" and 2 * chars[node] > chars[root]
+        large = 2 * chars[node] > chars[root] and not node.comments
+        large = large and (node.tag == "form" or not (marked or holds))
         if node.doubtful and (large or (not marked and node in holds)):
             node.noise = False
 
 
-def _inside(node: Node | None, tags: set[str]) -> bool:
-    while node is not None:
-        if node.tag in tags:
-            return True
-        node = node.parent
-    return False
-
-
 class TreeBuilder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.here = Node("body", None, False)
+        self.open: dict[str, list[Node]] = {}  # by tag, outermost first
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "body" or (self.here.tag == "head" and tag not in HEAD_PARTS):
@@ -143,34 +147,48 @@ class TreeBuilder(HTMLParser):
         if tag in {"html", "body"}:
             return
         if tag in BLOCKS:
-            self._end({"p"}, stop=BLOCKS - {"p"})
+            self._end({"p"}, stop=(BLOCKS | SILENT) - {"p"})
         if tag in ENDS:
-            self._end(ENDS[tag], stop={"ul", "ol", "dl", "table", "body", "select"})
+            self._end(ENDS[tag], stop={"ul", "ol", "dl", "table", "select"})
         attributes = dict(attrs)
-        node = Node(tag, self.here, _is_noise(tag, attributes, self.here))
-        if not node.noise and _is_doubtful(tag, attributes, self.here):
+        in_article = bool(self.open.get("article") or self.open.get("main"))
+        node = Node(tag, self.here, _is_noise(tag, attributes, in_article))
+        if not node.noise and _is_doubtful(tag, attributes, in_article):
             node.noise = node.doubtful = True
+            names = f"{attributes.get('class') or ''} {attributes.get('id') or ''}"
+            node.comments = bool(COMMENTS.search(names))
         self.here.children.append(node)
         if tag not in VOID:
             self.here = node
+            self.open.setdefault(tag, []).append(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
         if tag not in {"html", "body"}:
-            self._end({tag}, stop=set() if tag in BLOCKS else BLOCKS)
+            self._end({tag}, stop=set() if tag in BLOCKS or tag in SILENT else BLOCKS)
 
     def _end(self, tags: set[str], stop: set[str]) -> None:
         """Close the nearest open element of ``tags``, unless one of ``stop`` is in between."""
-        node = self.here
-        while node.parent is not None:
-            if node.tag in tags:
-                self.here = node.parent
-                return
-            if node.tag in stop:
-                return
-            node = node.parent
+        node = self._nearest(tags)
+        if node is None:
+            return
+        between = self._nearest(stop - tags)
+        if between is not None and between.depth > node.depth:
+            return
+        while self.here is not node.parent:
+            self.open[self.here.tag].pop()
+            self.here = self.here.parent
+
+    def _nearest(self, tags: set[str]) -> Node | None:
+        found = [nodes[-1] for tag in tags if (nodes := self.open.get(tag))]
+        return max(found, key=lambda node: node.depth, default=None)
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![`` in a page is a comment up to the next ``>``."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
 
     def handle_data(self, data: str) -> None:
         if self.here.tag == "head" and not data.isspace():
