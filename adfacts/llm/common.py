@@ -50,6 +50,14 @@ class Scratch:
             path.getFileSystem(hadoop).delete(path, True)
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted`` with as many underscores behind it as keep it apart from the columns of ``df``."""
+    taken = {name.lower() for name in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def whole_text(column: str = "text") -> Column:
     """The text column; null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

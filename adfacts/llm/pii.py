@@ -33,11 +33,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adfacts.llm.common import free_name
+
 ROUNDS = 8
 
 # Alternatives are tried in this order; a value is not part of a longer run of word characters.
 FORMATS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # plain classes within the lengths that addresses may have: no text makes them slow or deep
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-][A-Za-z0-9.-]{0,251}\.[A-Za-z]{2,63}",
     "date": r"\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4}",
     "ip": r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}",
     "phone": r"\+\d{1,3}(?:[ .-]?\(\d{2,4}\)|[ .-]?\d{2,4})(?:[ .-]?\d{2,4}){2,3}",
@@ -276,7 +279,8 @@ def _email(key: str, value: Column) -> Column:
             domain,
         )
 
-    return _let(F.split(value, "@"), renamed)
+    # the labels of a domain are not empty
+    return F.when(~F.contains(value, F.lit("..")) | ~value.rlike(r"@.*\.\."), _let(F.split(value, "@"), renamed))
 
 
 MAKERS = {"email": _email, "date": _date, "ip": _ip, "phone": _phone, "card": _card}
@@ -294,7 +298,8 @@ def _pseudonym(key: str, value: Column) -> Column:
 
 def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` replaced and a further column ``found``: an array of (kind, value,
-    pseudonym) in the order of the text, for values that validate."""
+    pseudonym) in the order of the text, for values that validate. Underscores follow its name
+    where ``docs`` has a column called so."""
     if not key:
         raise ValueError("a key is needed")
     column = F.col(f"`{text}`")
@@ -321,5 +326,5 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     found = F.coalesce(F.filter("_made", lambda m: m["kind"].isNotNull()), F.array())
     return made.select(
         *[changed.alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns],
-        found.alias("found"),
+        found.alias(free_name(docs, "found")),
     )

@@ -35,7 +35,7 @@ def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its cleaned text and the numbers of the lines it lost."""
-    cleaned = without_recurring_lines(table(spark, sf_dir, "documents"))
+    cleaned = without_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select(
         "doc_id",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
@@ -93,7 +93,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_format_preserving_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its pseudonymised text and what was replaced."""
-    found = pseudonymised(table(spark, sf_dir, "documents"), key=QUERY_KEY)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pseudonymised(docs, key=QUERY_KEY)
     return found.select(
         "doc_id",
         "text",
