@@ -35,13 +35,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfacts.llm.common import Scratch, whole_text, written
+from adfacts.llm.common import Scratch, free_name, whole_text, written
 
 ANY = "<*>"
 
 
 def _masked(line: Column) -> Column:
-    changed = F.regexp_replace(line, r"\S*\d\S*", ANY)
+    # starts at tokens only and never gives back: linear in tokens of any length
+    changed = F.regexp_replace(line, r"(?<!\S)[^\s\d]*+\d\S*+", ANY)
     return F.when(line.rlike(r"\d"), changed).otherwise(line)
 
 
@@ -225,8 +226,9 @@ def dropped_lines(docs: DataFrame, recurring: DataFrame) -> DataFrame:
 
 
 def without_recurring_lines(docs: DataFrame, **settings: float) -> DataFrame:
-    """``docs`` (doc_id, text and any others) with ``text`` cleaned, and a second column
-    ``dropped_lines``, the sorted numbers of the lines dropped. See ``recurring_lines``."""
+    """``docs`` (doc_id, text and any others) with ``text`` cleaned, and a further column
+    ``dropped_lines``, the sorted numbers of the lines dropped; underscores follow its name where
+    ``docs`` has a column called so. See ``recurring_lines``."""
     plain = docs.select("doc_id", whole_text().alias("text"))
     with Scratch(docs.sparkSession) as scratch:
         recurring = written(recurring_lines(plain, scratch, **settings), "line-recurring")
@@ -247,5 +249,5 @@ def without_recurring_lines(docs: DataFrame, **settings: float) -> DataFrame:
     no_lines = F.array().cast("array<int>")
     return joined.select(
         *[cleaned.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns],
-        F.coalesce("_dropped", no_lines).alias("dropped_lines"),
+        F.coalesce("_dropped", no_lines).alias(free_name(docs, "dropped_lines")),
     )
