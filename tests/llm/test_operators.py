@@ -1,4 +1,4 @@
-"""Every operator against a plain version on small tables, and its edge cases."""
+"""The operators on small tables: plain versions where there are some, cases made by hand, edge cases."""
 
 from __future__ import annotations
 
