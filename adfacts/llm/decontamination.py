@@ -108,7 +108,11 @@ def weighted_jaccard(a: Column, b: Column) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame, shingle_words: int) -> DataFrame:
-    """item_id, n_words, hashes, fingerprint of the items that have a shingle."""
+    """item_id, item1, item2, n_words, hashes, fingerprint of the items that have a shingle.
+
+    An id may be null or repeated: an item is known by its id and all of its shingles, 128 bits
+    of which are item1 and item2.
+    """
     return (
         benchmark.select("item_id", words(whole_text()).alias("tokens"))
         .select(
@@ -118,18 +122,22 @@ def benchmark_items(benchmark: DataFrame, shingle_words: int) -> DataFrame:
         )
         .distinct()  # also keeps Spark from repeating the shingles for each bit below
         .where(F.size("hashes") > 0)
-        .withColumn("fingerprint", simhash(F.col("hashes")))
+        .withColumns(
+            {
+                "item1": F.xxhash64("item_id", "hashes"),
+                "item2": F.xxhash64(F.lit(1), "item_id", "hashes"),
+                "fingerprint": simhash(F.col("hashes")),
+            }
+        )
     )
 
 
 def anchors(items: DataFrame, similarity: float, shingle_words: int) -> DataFrame:
-    """hash, n_words, at, slack: where in an item of n_words words an anchor stands."""
+    """hash, item1, item2, n_words, at, slack: where in an item of n_words words an anchor stands."""
     lost = F.floor(F.size("hashes") * (1 - similarity) + 1e-9)
-    # An id may be null or repeated: an item is known by its id and all of its shingles.
-    item = [F.xxhash64("item_id", "hashes"), F.xxhash64(F.lit(1), "item_id", "hashes")]
     placed = items.select(
-        item[0].alias("item1"),
-        item[1].alias("item2"),
+        "item1",
+        "item2",
         "n_words",
         lost.alias("lost"),
         F.greatest(lost - (shingle_words - 1), F.lit(0)).cast("int").alias("slack"),
@@ -142,7 +150,7 @@ def anchors(items: DataFrame, similarity: float, shingle_words: int) -> DataFram
         placed.join(common, "hash")
         .withColumn("rank", rank)
         .where(F.col("rank") <= F.col("lost") + 1)
-        .select("hash", "n_words", "at", "slack")
+        .select("hash", "item1", "item2", "n_words", "at", "slack")
         .distinct()
     )
 
@@ -167,9 +175,12 @@ def contaminated_windows(
         .where(F.col(f"w.w{shingle_words - 1}").isNotNull())
         .withColumn("hash", F.xxhash64(*[F.col(f"w.w{k}") for k in range(shingle_words)]))
     )
+    # A window keeps the item whose anchor placed it, and meets no other item.
     found = rows.join(F.broadcast(marks) if small else marks, "hash").select(
         "doc_id",
         "text_hash",
+        "item1",
+        "item2",
         "n_words",
         "tokens",
         F.explode(F.sequence(-F.col("slack"), F.col("slack"))).alias("off"),
@@ -185,6 +196,8 @@ def contaminated_windows(
         .select(
             "doc_id",
             "text_hash",
+            "item1",
+            "item2",
             "n_words",
             from_word.alias("start"),
             shingles(window, shingle_words).alias("hashes"),
@@ -198,11 +211,11 @@ def contaminated_windows(
 
     def blocked(df: DataFrame, *columns: Column | str) -> DataFrame:
         return df.select(
-            "n_words", *columns, F.posexplode(_blocks(F.col("fingerprint"), radius)).alias("block", "bits")
+            "item1", "item2", *columns, F.posexplode(_blocks(F.col("fingerprint"), radius)).alias("block", "bits")
         )
 
     by_window = blocked(
-        windows, "doc_id", "text_hash", "start", "hashes", F.col("fingerprint").alias("print")
+        windows, "doc_id", "text_hash", "n_words", "start", "hashes", F.col("fingerprint").alias("print")
     )
     by_item = blocked(
         items, "item_id", F.col("hashes").alias("item_hashes"), F.col("fingerprint").alias("item_print")
@@ -215,7 +228,7 @@ def contaminated_windows(
     )
     first_block = F.array_position(blocks, True)
     return (
-        by_window.join(by_item, ["n_words", "block", "bits"])
+        by_window.join(by_item, ["item1", "item2", "block", "bits"])
         .where(differs <= radius)
         .where(first_block == F.col("block") + 1)
         .withColumn("similarity", equal)
