@@ -194,7 +194,7 @@ def component_ids(
     return marked.join(least, "component").select("fp", "component_id")
 
 
-def one_of_each_group(docs: DataFrame, radius: int = 4) -> DataFrame:
+def one_of_each_group(docs: DataFrame, radius: int = 4, shingle_words: int = 4) -> DataFrame:
     """The rows of ``docs`` with the smallest ``doc_id`` of their component, all columns kept.
 
     Rows that repeat that id stay together, as they are one document. The ids that stay are
@@ -202,7 +202,7 @@ def one_of_each_group(docs: DataFrame, radius: int = 4) -> DataFrame:
     """
     with Scratch(docs.sparkSession) as scratch:
         printed = scratch.table(
-            docs.select("doc_id", fingerprint_column(whole_text()).alias("fp")), "simhash"
+            docs.select("doc_id", fingerprint_column(whole_text(), shingle_words).alias("fp")), "simhash"
         )
         classes = component_ids(printed, scratch, radius)
         kept = written(
