@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from adfacts.operators.rollups import date_range_label, with_share
+from adfacts.operators.rollups import date_range_label
 from adfacts.session import written
 
 TOP_CAMPAIGNS = 5
@@ -50,30 +47,41 @@ def _figures() -> list[Column]:
     return [total.alias("total_revenue"), F.try_divide(total, rows).alias("mean_revenue")]
 
 
-def _platforms(rollup: DataFrame) -> DataFrame:
-    return with_share(rollup.groupBy("platform").agg(*_figures()))
-
-
-def _top_campaigns(rollup: DataFrame, n: int) -> DataFrame:
-    totals = rollup.groupBy("campaign_name").agg(F.sum("total_revenue").alias("total_revenue"))
-    return totals.orderBy(F.desc("total_revenue"), "campaign_name").limit(n)
-
-
-def _days() -> Column:
-    return date_range_label(F.min("min_date"), F.max("max_date")).alias("date_range")
+def _ranked(name: str, *values: str) -> Column:
+    """All rows as one array, largest revenue first; ties go by name, missing revenue comes last."""
+    revenue = F.col("total_revenue")
+    entry = F.struct(
+        revenue.isNull().alias("missing"), (-revenue).alias("rank"), F.col(name).alias("name"), *values
+    )
+    return F.array_sort(F.collect_list(entry))
 
 
 def _overview(rollup: DataFrame) -> DataFrame:
-    """One row of everything the fixed lines need."""
-    platforms = _platforms(rollup)
-    best = platforms.orderBy(F.desc("total_revenue"), "platform").limit(1)
-    worst = platforms.orderBy("total_revenue", F.desc("platform")).limit(1)
-    top = _top_campaigns(rollup, 1)
-    return rollup.agg(_days(), *_figures()).select(
+    """One row of everything a report needs, from one aggregation per platform and one per campaign.
+
+    ``platforms`` has an entry per platform, ``campaigns`` one per top campaign.
+    """
+    platforms = rollup.groupBy("platform").agg(
+        *_figures(),
+        F.sum("row_count").alias("rows"),
+        F.min("min_date").alias("min_date"),
+        F.max("max_date").alias("max_date"),
+    )
+    total = F.sum("total_revenue")
+    overall = platforms.agg(
+        date_range_label(F.min("min_date"), F.max("max_date")).alias("date_range"),
+        total.alias("total_revenue"),
+        F.try_divide(total, F.sum("rows")).alias("mean_revenue"),
+        _ranked("platform", "total_revenue", "mean_revenue").alias("platforms"),
+    )
+    totals = rollup.groupBy("campaign_name").agg(F.sum("total_revenue").alias("total_revenue"))
+    top = totals.orderBy(F.desc("total_revenue"), "campaign_name").limit(TOP_CAMPAIGNS)
+    campaigns = top.agg(_ranked("campaign_name", "total_revenue").alias("m")).scalar()
+    return overall.select("*", campaigns.alias("campaigns")).select(
         "*",
-        best.select("platform").scalar().alias("best"),
-        worst.select("platform").scalar().alias("worst"),
-        top.select("campaign_name").scalar().alias("top_campaign"),
+        F.get("platforms", F.lit(0))["name"].alias("best"),
+        F.try_element_at("platforms", F.lit(-1))["name"].alias("worst"),
+        F.get("campaigns", F.lit(0))["name"].alias("top_campaign"),
     )
 
 
@@ -82,8 +90,7 @@ def insights_report(
 ) -> DataFrame:
     """The report as (line_no, line).
 
-    Its length is fixed but for one line per platform, so numbering the lines in one
-    task is safe. The execution time closes the report only when it is passed in.
+    Its length is fixed but for one line per platform, so one row may hold all lines. The execution time closes the report only when it is passed in.
     """
     rollup = campaign_rollup(df) if rollup is None else rollup
     one = _overview(rollup)
@@ -135,53 +142,41 @@ def insights_report(
     if elapsed_seconds is not None:
         tail += ["", "Execution Time", "-" * 14, f"{elapsed_seconds:.2f} seconds"]
 
-    platform_line = F.concat(
-        _pad_right(F.col("platform"), 15),
-        F.lit(" : $"),
-        _money(F.col("total_revenue"), 12),
-        F.lit(" ("),
-        _pad_left(F.format_number("share_pct", 1), 5),
-        F.lit("%) | Mean: $"),
-        _money(F.col("mean_revenue"), 10),
-    )
-    by_revenue = W.orderBy(F.desc("total_revenue"), "platform")
-    platforms = _platforms(rollup).select(
-        F.lit(2).alias("section"),
-        F.row_number().over(by_revenue).alias("position"),
-        platform_line.alias("line"),
-    )
-    by_campaign = W.orderBy(F.desc("total_revenue"), "campaign_name")
-    campaigns = (
-        _top_campaigns(rollup, TOP_CAMPAIGNS)
-        .withColumn("position", F.row_number().over(by_campaign))
-        .select(
-            F.lit(4).alias("section"),
-            "position",
-            F.concat(
-                F.col("position").cast("string"),
-                F.lit(". "),
-                _pad_right(F.col("campaign_name"), 30),
-                F.lit(" : $"),
-                _money(F.col("total_revenue"), 12),
-            ).alias("line"),
+    def platform_line(entry: Column) -> Column:
+        share = F.when(
+            F.col("total_revenue") > 0, entry["total_revenue"] / F.col("total_revenue") * 100
+        ).otherwise(F.lit(0.0))
+        return F.concat(
+            _pad_right(entry["name"], 15),
+            F.lit(" : $"),
+            _money(entry["total_revenue"], 12),
+            F.lit(" ("),
+            _pad_left(F.format_number(share, 1), 5),
+            F.lit("%) | Mean: $"),
+            _money(entry["mean_revenue"], 10),
         )
-    )
 
-    fixed = []
-    for section, lines in ((1, head), (3, middle), (5, tail)):
-        for position, line in enumerate(lines):
-            text = F.lit(line) if isinstance(line, str) else line
-            fixed.append(
-                F.struct(
-                    F.lit(section).alias("section"),
-                    F.lit(position).alias("position"),
-                    text.alias("line"),
-                )
-            )
-    parts = [one.select(F.inline(F.array(*fixed))), platforms, campaigns]
-    lines = reduce(DataFrame.unionByName, parts)
-    number = F.row_number().over(W.orderBy("section", "position"))
-    return lines.select(number.cast("bigint").alias("line_no"), "line")
+    def campaign_line(entry: Column, position: Column) -> Column:
+        return F.concat(
+            (position + 1).cast("string"),
+            F.lit(". "),
+            _pad_right(entry["name"], 30),
+            F.lit(" : $"),
+            _money(entry["total_revenue"], 12),
+        )
+
+    def texts(lines: list[str | Column]) -> Column:
+        return F.array(*[F.lit(line) if isinstance(line, str) else line for line in lines])
+
+    lines = F.concat(
+        texts(head),
+        F.transform("platforms", platform_line),
+        texts(middle),
+        F.transform("campaigns", campaign_line),
+        texts(tail),
+    )
+    numbered = one.select(F.posexplode(lines).alias("position", "line"))
+    return numbered.select((F.col("position") + 1).cast("bigint").alias("line_no"), "line")
 
 
 def summary_json(
@@ -196,26 +191,24 @@ def summary_json(
     """
     rollup = campaign_rollup(df) if rollup is None else rollup
 
-    def ordered_map(table: DataFrame, name: str, value: Column) -> Column:
-        entry = F.struct(
-            (-F.col("total_revenue")).alias("rank"), F.col(name).alias("k"), value.alias("v")
+    def ordered_map(entries: str, value) -> Column:
+        pairs = F.transform(entries, lambda e: F.struct(e["name"].alias("k"), value(e).alias("v")))
+        return F.map_from_entries(pairs)
+
+    def figures(entry: Column) -> Column:
+        return F.struct(
+            entry["total_revenue"].alias("total_revenue"), entry["mean_revenue"].alias("mean_revenue")
         )
-        entries = F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.struct(e.k, e.v))
-        return table.agg(F.map_from_entries(entries).alias("m")).scalar()
 
-    figures = F.struct(
-        F.col("total_revenue").alias("total_revenue"), F.col("mean_revenue").alias("mean_revenue")
-    )
-    top = _top_campaigns(rollup, TOP_CAMPAIGNS)
     stamp = F.lit(timestamp) if timestamp else F.date_format(F.now(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    overall = rollup.agg(_days(), *_figures())
+    overall = _overview(rollup)
     document = F.struct(
         stamp.alias("timestamp"),
         "date_range",
         F.col("total_revenue").alias("total_predicted_revenue"),
         F.col("mean_revenue").alias("mean_prediction"),
-        ordered_map(_platforms(rollup), "platform", figures).alias("platform_summary"),
-        ordered_map(top, "campaign_name", F.col("total_revenue")).alias("top_5_campaigns"),
+        ordered_map("platforms", figures).alias("platform_summary"),
+        ordered_map("campaigns", lambda e: e["total_revenue"]).alias("top_5_campaigns"),
         F.lit(elapsed_seconds).cast("double").alias("execution_time_seconds"),
     )
     return overall.select(F.to_json(document, {"pretty": "true"}).alias("value"))

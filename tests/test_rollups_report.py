@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime
 import json
 import random
+import re
 import statistics
 
 import pytest
@@ -181,3 +182,19 @@ def test_median_ends_with_infinities_and_nan(spark, values):
     ordered = sorted(values, key=lambda v: (v != v, v))
     low, high = ordered[(len(values) - 1) // 2], ordered[len(values) // 2]
     assert exact_median(df, "x", bins=3, final_rows=1) == (low if low == high else (low + high) / 2)
+
+
+@pytest.mark.parametrize("make", [report.insights_report, report.summary_json])
+def test_reports_read_the_rollup_twice(spark, make):
+    rollup = report.campaign_rollup(predictions(spark, SAMPLE))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan is whole before it runs
+    try:
+        execution = make(None, rollup=rollup)._jdf.queryExecution()
+        plan = spark._jvm.PythonSQLUtils.explainString(execution, "formatted")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    scans = re.findall(r"^\(\d+\) Scan parquet", plan, re.M)
+    exchanges = re.findall(r"^\(\d+\) Exchange", plan, re.M)
+    assert len(scans) == 2 and 2 <= len(exchanges) <= 4, plan
+    empty = make(predictions(spark, SAMPLE).limit(0))
+    assert empty.count() >= 1
