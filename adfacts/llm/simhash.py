@@ -197,21 +197,27 @@ def component_ids(
 def one_of_each_group(docs: DataFrame, radius: int = 4, shingle_words: int = 4) -> DataFrame:
     """The rows of ``docs`` with the smallest ``doc_id`` of their component, all columns kept.
 
-    Rows that repeat that id stay together, as they are one document. The ids that stay are
-    nearly as many as the documents, so they are never broadcast.
+    Rows that repeat that id stay together, as they are one document. Texts are joined with the ids
+    that go, a table of known size: Spark broadcasts it just if it is small.
     """
     with Scratch(docs.sparkSession) as scratch:
         printed = scratch.table(
             docs.select("doc_id", fingerprint_column(whole_text(), shingle_words).alias("fp")), "simhash"
         )
         classes = component_ids(printed, scratch, radius)
-        kept = written(
-            printed.join(classes, "fp")
-            .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_kept"))
-            .distinct(),
-            "simhash-kept",
+        sorted_out = scratch.table(
+            printed.join(classes, "fp").select(
+                F.col("doc_id").alias("_dropped"),
+                F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+            ),
+            "simhash-sorted",
+        )
+        dropped = written(
+            sorted_out.where("not kept").select("_dropped").subtract(
+                sorted_out.where("kept").select("_dropped")
+            ),
+            "simhash-dropped",
         )
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"))
-    same = F.col("_id").eqNullSafe(F.col("_kept"))
-    return rows.join(kept.hint("merge"), same, "left_semi").select("row.*")
+    same = F.col("_id").eqNullSafe(F.col("_dropped"))
+    return rows.join(dropped, same, "left_anti").select("row.*")
