@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adfacts.schema import CANONICAL_COLUMNS, SERIES_KEYS
-from adfacts.session import delete_folder, write_shared
+from adfacts.session import delete_folder, folder_bytes, write_shared
 
 PIECE = "_piece"
 AT = "_at"
@@ -43,13 +43,20 @@ WindowColumns = Callable[[WindowSpec], dict[str, Column]]
 class SkewPolicy:
     """Into how many pieces the rows are cut.
 
-    ``pieces=None`` means ``spark.sql.shuffle.partitions``, small pieces merged by adaptive
-    execution. ``unique_grain`` states that each campaign has at most one row per day. Its
-    history is then no longer than the calendar, and nothing has to be cut.
+    ``pieces=None`` means one for every ``piece_bytes`` of the rows as written, and
+    ``spark.sql.shuffle.partitions`` at least, small pieces merged by adaptive execution: a
+    task's share does not grow with the table. ``unique_grain`` states that each campaign has at
+    most one row per day. Its history is then no longer than the calendar, and nothing has to be cut.
     """
 
     pieces: int | None = None
     unique_grain: bool = False
+    piece_bytes: int = 64 << 20
+
+    def pieces_of(self, written_bytes: int, least: int) -> int | None:
+        """Number of pieces to cut into; None leaves it to Spark."""
+        needed = -(-written_bytes // self.piece_bytes)
+        return self.pieces or (needed if needed > least else None)
 
 
 def time_order(df: DataFrame) -> list[Column]:
@@ -68,7 +75,7 @@ def with_history(
     """
     if policy.unique_grain:
         return _windowed(df, build, W.partitionBy(*WINDOW_KEYS).orderBy(*time_order(df)))
-    cut = _cut(df, policy.pieces)
+    cut = _cut(df, policy)
     rows = cut.withColumn(IS_LOOK_BACK, F.lit(False)).unionByName(
         _look_back_rows(cut, look_back).withColumn(IS_LOOK_BACK, F.lit(True))
     )
@@ -80,7 +87,7 @@ def _windowed(df: DataFrame, build: WindowColumns, window: WindowSpec) -> DataFr
     return df.select("*", *[c.alias(name) for name, c in build(window).items()])
 
 
-def _cut(df: DataFrame, pieces: int | None) -> DataFrame:
+def _cut(df: DataFrame, policy: SkewPolicy) -> DataFrame:
     """``df`` with ``PIECE`` and ``AT``: ``AT`` rises in campaign and time order, and by one
     from row to row of a piece. Written, as range bounds are sampled anew by every run."""
     spark = df.sparkSession
@@ -88,6 +95,8 @@ def _cut(df: DataFrame, pieces: int | None) -> DataFrame:
     place = F.xxhash64("_metadata.file_name", "_metadata.row_index")
     placed = spark.read.schema(df.schema).parquet(path).select("*", place.alias(PLACE))
     order = [*[F.col(k) for k in WINDOW_KEYS], *time_order(df), F.col(PLACE)]
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = policy.pieces_of(folder_bytes(spark, path), least)
     ranged = placed.repartitionByRange(*([pieces] if pieces else []), *order)
     cut = (
         ranged.sortWithinPartitions(*order)

@@ -98,6 +98,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    files, folder = _file_system(spark, path)
+    return int(files.getContentSummary(folder).getLength())
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> bool:
     """Rename within one file system, making the target's parent; False if there is no source."""
     files, folder = _file_system(spark, source)

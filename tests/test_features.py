@@ -101,6 +101,20 @@ def test_pieces_shorter_than_the_look_back(spark):
     assert comparable(cut.toPandas()) == comparable(history(spark, df).toPandas())
 
 
+def test_pieces_grow_with_the_bytes_written(spark):
+    policy = SkewPolicy()
+    assert policy.pieces_of(0, 200) is None
+    assert policy.pieces_of(200 * policy.piece_bytes, 200) is None
+    assert policy.pieces_of(200 * policy.piece_bytes + 1, 200) == 201
+    assert policy.pieces_of(100 << 40, 200) == (100 << 40) // policy.piece_bytes
+    assert SkewPolicy(pieces=3).pieces_of(100 << 40, 200) == 3
+    df = random_facts(spark, rows=900, copies=300).coalesce(2)
+    cut = history(spark, df, SkewPolicy(piece_bytes=1_000))
+    written = {name for name in cut.inputFiles() if "history-pieces" in name}
+    assert len(written) > 4  # more than spark.sql.shuffle.partitions
+    assert comparable(cut.toPandas()) == comparable(history(spark, df).toPandas())
+
+
 def test_no_rows_stay_no_rows(spark):
     df = random_facts(spark).where("spend < 0")
     cut = history(spark, df, SkewPolicy(pieces=4))
