@@ -48,7 +48,7 @@ class RunResult:
 
 
 def _ingested(
-    spark: SparkSession, paths: Mapping[str, Paths | None], multi_line: bool
+    spark: SparkSession, paths: Mapping[str, Paths | None], multi_line: bool | None
 ) -> tuple[DataFrame, DataFrame]:
     """The written fact table, and one row of audit counts per platform, taken while writing."""
     audits = {p: Observation(f"audit-{p}-{uuid.uuid4().hex}") for p, path in paths.items() if path}
@@ -66,7 +66,7 @@ def run_training(
     estimator: Estimator | None = None,
     save: bool = False,
     policy: SkewPolicy = SkewPolicy(),
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> RunResult:
     """Ingest, derive features, train, and evaluate over all rows with a known target.
 
@@ -129,7 +129,7 @@ def run_scoring(
     output: str,
     file_format: str = "parquet",
     policy: SkewPolicy = SkewPolicy(),
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Score the exports; write predictions to ``output``, reports and a manifest next to it.
 
@@ -188,13 +188,13 @@ def main(arguments: list[str] | None = None) -> None:
         job.add_argument("--without", action="append", default=[], choices=sorted(SOURCES),
                          help="a platform that has no export; may be repeated")
         job.add_argument("--single-line", action="store_true",
-                         help="no line breaks inside quotes: large files are split among tasks")
+                         help="no line breaks inside quotes: saves the scan for files that hold some")
     given = parser.parse_args(arguments)
 
     def exports(config: JobConfig) -> dict[str, str]:
         return {p: path for p, path in config.export_paths.items() if p not in given.without}
 
-    several_lines = not given.single_line
+    several_lines = False if given.single_line else None
     spark = build_session(f"adfacts-{given.job}")
     if given.job == "train":
         config = JobConfig(

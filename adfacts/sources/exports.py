@@ -1,6 +1,7 @@
 """Read platform exports and bring them to the canonical table.
 
-Everything stays lazy: reading checks the header, and no count is taken.
+Everything stays lazy: reading checks the header, and no count is taken, unless ``multi_line=None``
+asks for a scan of the lines.
 """
 
 from __future__ import annotations
@@ -22,36 +23,59 @@ from adfacts.sources.registry import SOURCES, SourceSpec
 Paths = str | Sequence[str]
 
 
-def _read_one(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    def reader():
+def files_with_broken_rows(spark: SparkSession, path: str) -> list[str]:
+    """Files below ``path`` in which a line may end within a row, found by one split scan.
+
+    A row that goes on in the next line leaves a quote open, so its first line holds an odd number
+    of quotes (a doubled quote counts twice). A carriage return amid a line is taken as a
+    sign too. In all other files every line is a row.
+    """
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    broken = (quotes % 2 == 1) | line.rlike(r"(?s)\r.")
+    lines = spark.read.option("lineSep", "\n").text(path).where(broken)
+    return sorted(r[0] for r in lines.select("_metadata.file_path").distinct().collect())
+
+
+def _read_one(spark: SparkSession, path: str, multi_line: bool | None) -> DataFrame:
+    def reader(several: bool):
         # escape: a doubled quote inside quotes is one quote
-        return (
-            spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-        )
+        return spark.read.option("header", True).option("escape", '"').option("multiLine", several)
 
     try:
-        header = reader().csv(path).columns
+        header = reader(multi_line is not False).csv(path).columns
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from error
         raise
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     # enforceSchema=False makes a file whose header differs fail, not swap columns
-    return reader().schema(schema).option("enforceSchema", False).csv(path)
+    def rows(several: bool) -> DataFrame:
+        return reader(several).schema(schema).option("enforceSchema", False).csv(path)
+
+    if multi_line is not None:
+        return rows(multi_line)
+    whole = files_with_broken_rows(spark, path)
+    if not whole:
+        return rows(False)
+    # a condition on the file alone: Spark leaves the other files out of each scan
+    apart = F.col("_metadata.file_path").isin(whole)
+    return rows(False).where(~apart).unionByName(rows(True).where(apart))
 
 
 def read_export(
     spark: SparkSession,
     paths: Paths,
     required: Sequence[str] = (),
-    multi_line: bool = True,
+    multi_line: bool | None = True,
 ) -> DataFrame:
     """Headered CSV with every column as text and missing-value texts as NULL.
 
     All files under one path share a header. Exports whose column order differs
     are passed as separate paths and matched by name. ``multi_line`` allows line
     breaks inside quotes, at the price of one task per file; without it a large file is split
-    among tasks, and a row that holds a line break falls apart.
+    among tasks, and a row that holds a line break falls apart. With None the lines are
+    scanned once, at this call, and only files that may hold such rows are read by one task each.
     """
     parts = []
     for path in [paths] if isinstance(paths, str) else paths:
@@ -129,7 +153,7 @@ def normalise(
 
 
 def load_source(
-    spark: SparkSession, paths: Paths, spec: SourceSpec, multi_line: bool = True
+    spark: SparkSession, paths: Paths, spec: SourceSpec, multi_line: bool | None = True
 ) -> DataFrame:
     """One platform's export as canonical rows, not yet validated."""
     return normalise(read_export(spark, paths, spec.required, multi_line), spec)
@@ -150,7 +174,7 @@ def ingest(
     spark: SparkSession,
     paths: Mapping[str, Paths | None],
     sources: Mapping[str, SourceSpec] = SOURCES,
-    multi_line: bool = True,
+    multi_line: bool | None = True,
     audits: Mapping[str, Observation] | None = None,
 ) -> DataFrame:
     """Validated union of the platforms that have a path; at least one must.

@@ -129,6 +129,56 @@ def test_quotes_line_breaks_and_byte_order_mark(spark, tmp_path):
     assert row["date"] == DAY
 
 
+BROKEN = {  # in all but the last two a row goes on in the next line
+    "break": '2024-01-15,"a\nb",1\n',
+    "several": '2024-01-15,"a\n\n""q""\nb",1\n',
+    "windows": '2024-01-15,"a\r\nb",1\r\n',
+    "old": '2024-01-15,a,1\r2024-01-16,b,2\r',
+    "no end": '2024-01-15,"a\nb",1',
+    "quoted": '2024-01-15,"say ""hi"", b",1\n\n2024-01-16,,2\n',
+    "plain": "2024-01-15,a,1\r\n2024-01-16,b,2\r\n",
+}
+
+
+@pytest.mark.parametrize("kind", list(BROKEN))
+def test_files_are_split_only_where_every_line_is_a_row(spark, tmp_path, kind):
+    from adfacts.sources.exports import files_with_broken_rows
+
+    head = "day,name,n\n"
+    if kind in ("windows", "plain"):
+        head = "day,name,n\r\n"
+    elif kind == "old":
+        head = "day,name,n\r"
+    folder = tmp_path / "with blank"
+    folder.mkdir()
+    (folder / "one file.csv").write_bytes((head + BROKEN[kind]).encode())
+    (folder / "other.csv").write_text("day,name,n\n2024-02-01,x,1\n2024-02-02,y,2\n")
+    found = files_with_broken_rows(spark, str(folder))
+    assert len(found) == (kind not in ("quoted", "plain"))
+    assert not any("other" in name for name in found)
+    whole = read_export(spark, str(folder))
+    assert sorted_rows(read_export(spark, str(folder), multi_line=None)) == sorted_rows(whole)
+
+
+def test_a_large_file_is_read_by_several_tasks(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = "".join(f'2024-01-15,"c{i}, ""x""",{i}\n' for i in range(20_000))
+    (folder / "large.csv").write_text("day,name,n\n" + lines)
+    (folder / "small.csv").write_text('day,name,n\n2024-01-15,"a\nb",1\n')
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "100000")
+        rows = read_export(spark, str(folder), multi_line=None)
+        readers = rows.select("name", F.spark_partition_id().alias("task"))
+        per_task = [r["n"] for r in readers.groupBy("task").agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert sum(per_task) == 20_001 and len(per_task) > 4
+    assert sorted_rows(rows) == sorted_rows(read_export(spark, str(folder)))
+
+
 def test_text_of_missing_values(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text('a,b\nNA,""\nn/a, NA\n')
