@@ -69,6 +69,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "found.score",
         (F.col("found.score") >= 0.5).cast("int").alias("predicted"),
         "found.worst_sentence",
+        # numbers of all offending sentences; empty for a clean document
+        F.array_join(F.col("found.offending.sentence").cast("array<string>"), ",").alias("offending"),
     )
 
 

@@ -3,7 +3,8 @@
 A sentence's probability is the logistic of a bias and the weights of its distinct words; the
 document's is the noisy-or 1 - prod(1 - p) over its sentences. Only documents are labelled:
 training lowers the document's cross entropy, and the noisy-or passes each label on to the
-sentences that explain it. The same weights then point at the offending sentences.
+sentences that explain it. The same weights then point at the offending sentences: all whose own
+probability is at least ``OFFENDING``. A clean document has none of them.
 
 Training takes a bounded sample: about ``max_rows`` labelled documents, chosen by a hash of
 the id, and the words that ``min_docs`` or more of them have. That is the only bound; every
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 SENTENCE_END = re.compile(r"[.!?\n]+(?:\s|$)")
 WORDS = re.compile(r"[^\W\d_]+")
 START_BIAS = -6.0
+OFFENDING = 0.5
 
 
 def sentence_words(text: str | None) -> list[tuple[str, set[str]]]:
@@ -46,11 +48,19 @@ class ToxicityModel:
         scores = [self.bias + sum(get(w, 0.0) for w in words) for _, words in sentences]
         return [s for s, _ in sentences], _logistic(np.array(scores))
 
-    def score(self, text: str | None) -> tuple[float, int, str]:
-        """Noisy-or of the document; number and text of its most toxic sentence."""
+    def score(
+        self, text: str | None, offending: float = OFFENDING
+    ) -> tuple[float, int, str, list[dict]]:
+        """Noisy-or of the document; number and text of its most toxic sentence; every sentence
+        of at least ``offending`` with its number, probability and text, in their order."""
         sentences, p = self.sentence_scores(text)
         worst = int(p.argmax())
-        return float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())), worst, sentences[worst]
+        found = [
+            {"sentence": int(i), "probability": float(p[i]), "text": sentences[i]}
+            for i in np.flatnonzero(p >= offending)
+        ]
+        whole = float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum()))
+        return whole, worst, sentences[worst], found
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -131,12 +141,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4_000) -> ToxicityMo
 
 
 def toxicity_columns(text: Column, model: ToxicityModel) -> Column:
-    """Struct of ``score``, ``worst_sentence`` (its number) and ``worst_text``."""
+    """Struct of ``score``, ``worst_sentence`` (its number), ``worst_text`` and ``offending``."""
+    offending = "array<struct<sentence: int, probability: double, text: string>>"
 
-    @F.pandas_udf("score double, worst_sentence int, worst_text string")
+    @F.pandas_udf(f"score double, worst_sentence int, worst_text string, offending {offending}")
     def batch(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in parts:
             found = [model.score(t if isinstance(t, str) else None) for t in texts]
-            yield pd.DataFrame(found, columns=["score", "worst_sentence", "worst_text"])
+            yield pd.DataFrame(found, columns=["score", "worst_sentence", "worst_text", "offending"])
 
     return batch(text)

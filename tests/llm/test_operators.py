@@ -257,7 +257,7 @@ def test_contamination_of_odd_rows(spark, odd):
 def test_toxicity_finds_sentence_and_document():
     texts = [f"{prose(9, i)}. {prose(5, i + 900)} awfulword. {prose(9, i + 500)}." if i % 3 == 0 else f"{prose(9, i)}. {prose(9, i + 500)}." for i in range(300)]
     model = toxicity.train(texts, [int(i % 3 == 0) for i in range(300)])
-    score, worst, sentence = model.score("Fine words here. Such an awfulword there! And done.")
+    score, worst, sentence, _ = model.score("Fine words here. Such an awfulword there! And done.")
     assert score > 0.5 and worst == 1 and "awfulword" in sentence
     assert model.score("Fine words here. And done.")[0] < 0.5
     assert 0 <= model.score(None)[0] == model.score("")[0] < 0.5
