@@ -9,16 +9,24 @@ of the first floor((1-s) n) + 1 of either set, n being its size: each set misses
 many of the other, less one. Any order will do; here rarer shingles come first, so that passages of
 many documents are no prefix of any. Frequencies are counts of all shingles in a table of ``CELLS``
 cells, a fixed size that is sent to the tasks. Shingles that share a cell only weaken the order.
+Behind the first shingle that two sets share, at the places i and j of them, both hold at most
+min(n_a - i, n_b - j) in common; pairs are dropped where this cannot reach the similarity.
+
+Prefix rows are the bulk of the work. They are shuffled once, as arrays of one bucket of shingles and one batch
+of documents each, which take a third of the bytes of single rows, and rows whose shingle no other
+document has are left out behind that shuffle.
 
 Full sets are as large as the texts and hardly compress, so they are never stored for all documents: they are
-made from the texts once for the frequencies, once for the prefixes, and once for the documents that have
-a pair to compare. ``docs`` should therefore be a table.
+made from the texts once for the frequencies, once for the prefixes, and for the documents that have
+a pair to compare. Those are picked out by a bitmap of ``ID_BITS`` bits over their ids, a fixed size too, so that
+texts are not shuffled; what else the bitmap lets through finds no pair. ``docs`` should therefore be a table.
 
 Documents that share a prefix shingle are compared exactly, in full sets. Up to ``hubs`` of
-them are all compared with each other. Of more, the ``hubs`` smallest ids are compared with all; those
-linked to nothing yet go on among themselves in the next round, until none is left. So every
-document with a similar one is either linked or was itself compared with all that share
-its shingle. No group is ever paired with itself whole.
+them are all compared with each other. Of more, all are compared that are not yet in one group, so that the groups
+are those of all pairs, whatever the size: the members outside of the largest group are compared with all of
+the other groups. Where that is much work, a few rounds before it compare one member of
+each such shingle with the others, which makes one group of a crowd of near copies in linear time. Only crowds of
+documents that stay unlike take a square of their number, in tasks that Spark splits.
 
 Defined results: null counts as empty; a text without words is in no link; fewer words than a
 shingle has are one shingle. Rows without an id are in no link. Rows of one id are one document,
@@ -32,8 +40,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -41,6 +50,10 @@ from adfacts.llm.common import Scratch, whole_text, written
 from adfacts.llm.graph import connected_components
 
 CELLS = 1 << 18
+BUCKETS = 1 << 13
+ID_BITS = 1 << 25
+# Rounds that only save work, before the groups of a crowd are compared with each other.
+STARS = 3
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -59,15 +72,35 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null").select(F.col("doc_id").alias("id"), whole_text().alias("text"))
 
 
-def shingle_sets(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
-    """id, shingles of every row that has an id and a word."""
+def _id_bit(ids: str) -> Column:
+    return F.pmod(F.xxhash64(ids), F.lit(ID_BITS))
+
+
+def id_bitmap(ids: DataFrame) -> np.ndarray:
+    """The bits of all ``id`` of ``ids``, in ``ID_BITS`` / 64 words."""
+    bits = ids.select(_id_bit("id").alias("bit")).select(
+        F.shiftright("bit", 6).alias("word"),
+        F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("mask"),
+    )
+    table = np.zeros(ID_BITS // 64, dtype=np.int64)
+    for row in bits.groupBy("word").agg(F.bit_or("mask").alias("mask")).toLocalIterator():
+        table[row["word"]] = row["mask"]
+    return table
+
+
+def shingle_sets(docs: DataFrame, ids: DataFrame, shingle_words: int = 5) -> DataFrame:
+    """id, shingles of every row that has a word and an id of ``ids``; few others come with them."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            frame["shingles"] = [shingle_set(text, shingle_words) for text in frame.pop("text")]
-            yield frame[frame["shingles"].map(len) > 0]
+            bit = frame.pop("bit").to_numpy()
+            frame = frame[(bitmap.value[bit >> 6] >> (bit & 63)) & 1 == 1]
+            sets = [shingle_set(text, shingle_words) for text in frame["text"]]
+            shingles = pd.Series(sets, index=frame.index, dtype=object)
+            yield pd.DataFrame({"id": frame["id"], "shingles": shingles})[[len(s) > 0 for s in sets]]
 
-    rows = _texts(docs)
+    rows = _texts(docs).withColumn("bit", _id_bit("id"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInPandas(batches, f"id {kind}, shingles array<bigint>")
 
@@ -91,27 +124,55 @@ def cell_counts(docs: DataFrame, shingle_words: int = 5) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, similarity: float, shingle_words: int = 5) -> DataFrame:
-    """shingle, id, size: the rarest floor((1-similarity) size) + 1 shingles of each set."""
+    """bucket, shingle, id, size, place: the rarest floor((1-similarity) size) + 1 shingles of each set.
+
+    Rows of a bucket, and so of a shingle, are in one partition.
+    """
     frequency = docs.sparkSession.sparkContext.broadcast(cell_counts(docs, shingle_words))
 
     def rarest(shingles: np.ndarray) -> np.ndarray:
         length = int(len(shingles) * (1 - similarity) + 1e-9) + 1
         return shingles[np.lexsort((shingles, frequency.value[shingles % CELLS]))[:length]]
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            first, sizes = [], []
-            for text in frame.pop("text"):
-                shingles = shingle_set(text, shingle_words)
-                sizes.append(len(shingles))
-                first.append(rarest(shingles))
-            frame["size"], frame["first"] = sizes, first
-            yield frame[frame["size"] > 0]
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            sets = [shingle_set(text.as_py(), shingle_words) for text in part.column("text")]
+            sizes = np.array([len(s) for s in sets], dtype=np.int32)
+            first = [rarest(s) if len(s) else s for s in sets]
+            lengths = np.array([len(f) for f in first], dtype=np.int64)
+            if not lengths.sum():
+                continue
+            shingles = np.concatenate(first)
+            row = np.repeat(np.arange(len(first)), lengths)
+            place = (np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+            # neither the bits of the cells nor those that the order prefers
+            bucket = ((shingles >> 20) % BUCKETS).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+            offsets = pa.array(np.append(starts, len(order)), pa.int32())
+            columns = {
+                "shingle": pa.array(shingles[order]),
+                "id": part.column("id").take(pa.array(row[order])),
+                "size": pa.array(sizes[row[order]]),
+                "place": pa.array(place[order]),
+            }
+            yield pa.RecordBatch.from_pydict(
+                {"bucket": pa.array(bucket[order][starts])}
+                | {name: pa.ListArray.from_arrays(offsets, column) for name, column in columns.items()}
+            )
 
     rows = _texts(docs)
     kind = rows.schema["id"].dataType.simpleString()
-    found = rows.mapInPandas(batches, f"id {kind}, size int, first array<bigint>")
-    return found.select(F.explode("first").alias("shingle"), "id", "size")
+    lists = f"shingle array<bigint>, id array<{kind}>, size array<int>, place array<int>"
+    found = rows.mapInArrow(batches, f"bucket int, {lists}").repartition("bucket")
+    return found.select("bucket", F.inline(F.arrays_zip("shingle", "id", "size", "place")))
+
+
+def shared_prefixes(docs: DataFrame, similarity: float, shingle_words: int = 5) -> DataFrame:
+    """shingle, id, size, place, n: the rows of ``prefixes`` whose shingle n > 1 rows have."""
+    alike = W.partitionBy("bucket", "shingle")  # no shuffle, as buckets are together
+    counted = prefixes(docs, similarity, shingle_words).withColumn("n", F.count("*").over(alike))
+    return counted.where("n > 1").drop("bucket")
 
 
 def similar(
@@ -122,11 +183,8 @@ def similar(
     ``pairs`` is a table, as are the sets of its documents: both have a known size, so Spark broadcasts
     them just if they are small, and never makes or shuffles the sets of documents without a pair.
     """
-    ids = scratch.table(
-        pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "shingle-ids"
-    )
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    wanted = scratch.table(shingle_sets(texts, shingle_words), "shingle-wanted")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    wanted = scratch.table(shingle_sets(docs, ids, shingle_words), "shingle-wanted")
     both = pairs.join(
         wanted.select(F.col("id").alias("a"), F.col("shingles").alias("a_set")), "a"
     ).join(wanted.select(F.col("id").alias("b"), F.col("shingles").alias("b_set")), "b")
@@ -135,36 +193,83 @@ def similar(
     return both.where(shared >= similarity * every - F.lit(1e-9)).select("a", "b").distinct()
 
 
+def candidates(left: DataFrame, right: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of ids of different groups that share a shingle and may be similar."""
+    names = ("id", "size", "place", "component")
+    other = right.select("shingle", *[F.col(c).alias(f"other_{c}") for c in names])
+    needed = (F.col("size") + F.col("other_size")) * F.lit(similarity / (1 + similarity)) - F.lit(1e-6)
+    most = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
+    met = left.join(other, "shingle").where((F.col("component") != F.col("other_component")) & (most >= needed))
+    return met.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
+
+
+def _grouped(members: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """``members`` with the component of each id; ids outside of ``groups`` are alone."""
+    if groups is None:
+        return members.withColumn("component", F.col("id"))
+    placed = members.join(groups.withColumnRenamed("node", "id"), "id", "left")
+    return placed.withColumn("component", F.coalesce("component", "id"))
+
+
+def _outside_largest(placed: DataFrame) -> DataFrame:
+    """The rows of ``placed`` that are not in the largest component of their shingle."""
+    counts = placed.groupBy("shingle", "component").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("shingle").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
+    return placed.join(largest, "shingle").where(F.col("component") != F.col("largest")).drop("largest")
+
+
 def similar_links(
-    docs: DataFrame, scratch: Scratch, similarity: float = 0.8, shingle_words: int = 5, hubs: int = 32
+    docs: DataFrame,
+    scratch: Scratch,
+    similarity: float = 0.8,
+    shingle_words: int = 5,
+    hubs: int = 32,
+    known: DataFrame | None = None,
+    copies: DataFrame | None = None,
 ) -> DataFrame:
-    """Links (a, b) between ids of similar documents; see the rounds above."""
-    keyed = scratch.table(prefixes(docs, similarity, shingle_words), "shingle-prefixes")
-    counts = keyed.groupBy("shingle").agg(F.count("*").alias("n"))
-    shared = scratch.table(counts.where("n > 1").select("shingle"), "shingle-shared")
-    # shared shingles grow with the corpus: one plan at every size, and no broadcast
-    rest = members = scratch.table(keyed.join(shared.hint("merge"), "shingle"), "shingle-members")
+    """Links (a, b) between ids of similar documents, which close to the groups of all such pairs.
+
+    Where no more than ``hubs`` documents share a shingle, all their links are found. ``known`` holds
+    links (a, b) from elsewhere: what they join need not be compared. Each ``id`` of ``copies`` must
+    be joined by them to an equal text that stays; it is compared with nothing.
+    """
+    members = shared_prefixes(docs, similarity, shingle_words)
+    if copies is not None:
+        members = scratch.table(members, "shingle-copies").join(copies, "id", "left_anti")
+    members = scratch.table(members, "shingle-members")
     found = []
-    while not rest.isEmpty():
-        place = F.row_number().over(W.partitionBy("shingle").orderBy("id", "size"))
-        chosen = rest.withColumn("place", place).where(F.col("place") <= hubs)
-        hub = chosen.select("shingle", F.col("id").alias("hub"), F.col("size").alias("hub_size"))
-        near = F.least("size", "hub_size") >= similarity * F.greatest("size", "hub_size") - F.lit(1e-9)
-        pairs = (
-            members.join(hub, "shingle")
-            .where((F.col("id") != F.col("hub")) & near)
-            .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-            .distinct()
-        )
-        pairs = scratch.table(pairs, "shingle-pairs")
-        found.append(scratch.table(similar(pairs, docs, scratch, similarity, shingle_words), "shingle-links"))
-        linked = found[-1].select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        done = hub.select("shingle", F.col("hub").alias("id")).distinct()
-        rest = scratch.table(
-            rest.join(done, ["shingle", "id"], "left_anti").join(linked, "id", "left_anti"),
-            "shingle-rest",
-        )
-    links = keyed.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+
+    def groups() -> DataFrame | None:
+        links = [df for df in (known, *found) if df is not None]
+        if not links:
+            return None
+        edges = links[0]
+        for df in links[1:]:
+            edges = edges.union(df)
+        return connected_components(edges, scratch)
+
+    def compare(left: DataFrame, right: DataFrame) -> None:
+        pairs = scratch.table(candidates(left, right, similarity), "shingle-pairs")
+        if not pairs.isEmpty():
+            found.append(scratch.table(similar(pairs, docs, scratch, similarity, shingle_words), "shingle-links"))
+
+    few = _grouped(members.where(F.col("n") <= hubs), groups())
+    few = scratch.table(few, "shingle-few")
+    compare(few, few)
+    crowded = members.where(F.col("n") > hubs)
+    size = crowded.count()
+    for star in range(STARS + 1 if size else 0):
+        placed = scratch.table(_grouped(crowded, groups()), "shingle-crowds")
+        apart = scratch.table(_outside_largest(placed), "shingle-apart")
+        work = apart.agg(F.sum("n")).first()[0]
+        if work is None:
+            break
+        if star == STARS or work <= hubs * size:
+            compare(apart, placed)
+            break
+        any_one = F.min_by(F.struct("id", "size", "place", "component"), F.xxhash64("id", F.lit(star)))
+        compare(apart.groupBy("shingle").agg(any_one.alias("one")).select("shingle", "one.*"), placed)
+    links = members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     for part in found:
         links = links.union(part)
     return links.distinct()

@@ -14,9 +14,8 @@ from adfacts.llm import language_id
 from adfacts.llm.common import fold_share, table, written
 from adfacts.llm.decontamination import without_contaminated
 from adfacts.llm.line_dedup import without_recurring_lines
+from adfacts.llm.near_groups import one_of_each_near
 from adfacts.llm.packing import pack
-from adfacts.llm.simhash import one_of_each_group
-from adfacts.llm.similar_sets import one_of_each_similar
 
 # A language is taken as rejected below this mean probability of the best label.
 MIN_LANGUAGE_SCORE = 0.35
@@ -48,11 +47,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id.
 
-    Fingerprints of five-word shingles within 4 bits are found by covering tables; of what stays,
-    documents that share 0.8 of their shingles are found by rare shingles and exact sets.
+    Fingerprints of five-word shingles within 4 bits are found by covering tables, documents that
+    share 0.8 of their shingles by rare shingles and exact sets. Groups close over both.
     """
-    kept = written(one_of_each_group(docs, shingle_words=SHINGLE_WORDS), "pipeline-apart")
-    return one_of_each_similar(kept, SIMILARITY, SHINGLE_WORDS)
+    return one_of_each_near(docs, SIMILARITY, SHINGLE_WORDS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,3 +75,57 @@ def test_one_of_each_with_odd_rows(spark):
     assert kept.columns == docs.columns
     assert sorted(r["row"] for r in kept.collect()) == ["b", "c", "d", "e", "f", "f", "h"]
     assert similar_sets.one_of_each_similar(docs.limit(0)).count() == 0
+
+
+def closed(ids, links):
+    """id -> smallest id that the links lead to."""
+    group = {i: i for i in ids}
+    for _ in group:
+        for a, b in links:
+            group[a] = group[b] = min(group[a], group[b])
+    return group
+
+
+def crowd(seed):
+    """Near copies that meet by single documents only: chains, and texts whose shingles are all common."""
+    rng = random.Random(seed)
+    texts = []
+    for chain in range(3):
+        words = [f"c{chain}x{i}" for i in range(60)]
+        for step in range(10):  # a step changes a word, so that only neighbours are similar
+            words = list(words)
+            words[3 + 6 * step % 54] = f"c{chain}s{step}"
+            texts.append(" ".join(words))
+    passages = [" ".join(rng.choices("abcdefgh", k=12)) for _ in range(5)]
+    for _ in range(25):
+        texts.append(" ".join(rng.choices(passages, k=rng.choice([2, 3, 4]))))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("seed, hubs", [(1, 1), (2, 3), (3, 32)])
+def test_groups_of_crowds_equal_all_pairs(spark, seed, hubs):
+    rows = crowd(seed)
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    with Scratch(spark) as scratch:
+        got = {(r.a, r.b) for r in similar_sets.similar_links(docs, scratch, hubs=hubs).collect()}
+    expected = plain_links(rows)
+    ids = [i for i, _ in rows]
+    assert got <= expected
+    assert closed(ids, got) == closed(ids, expected)
+
+
+def test_groups_that_only_documents_behind_the_hubs_join(spark):
+    """Of a - b - c - d, each like its neighbours only, a text of smaller id is wherever b and c meet."""
+    words, path = [f"x{i}" for i in range(60)], []
+    for step in range(4):
+        words[8 + 14 * step] = f"y{step}"
+        path.append(" ".join(words))
+    tiny = [" ".join(s) for s in sorted(plain_set(path[1]) & plain_set(path[2]))]
+    rows = list(enumerate(tiny + path))
+    a = len(tiny)
+    assert plain_links(rows) == {(a, a + 1), (a + 1, a + 2), (a + 2, a + 3)}
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    with Scratch(spark) as scratch:
+        got = {(r.a, r.b) for r in similar_sets.similar_links(docs, scratch, hubs=1).collect()}
+    assert got == plain_links(rows)
