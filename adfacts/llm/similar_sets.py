@@ -16,10 +16,16 @@ Prefix rows are the bulk of the work. They are shuffled once, as arrays of one b
 of documents each, which take a third of the bytes of single rows, and rows whose shingle no other
 document has are left out behind that shuffle.
 
+Most pairs found that way share a passage and are far below the similarity. They are sorted out by sketches: one
+bit for each cell of a table that grows with the set, telling whether an odd number of its shingles is in that cell.
+Each shingle that only one of two sets has changes one bit, so sketches never differ in more bits than sets in
+shingles, and no similar pair is lost. A sketch has a thirty-second to a sixteenth of the bytes of its set.
+
 Full sets are as large as the texts and hardly compress, so they are never stored for all documents: they are
-made from the texts once for the frequencies, once for the prefixes, and for the documents that have
-a pair to compare. Those are picked out by a bitmap of ``ID_BITS`` bits over their ids, a fixed size too, so that
-texts are not shuffled; what else the bitmap lets through finds no pair. ``docs`` should therefore be a table.
+made from the texts once for the frequencies, once for the prefixes, once for the sketches of documents that have
+a pair, and for the documents of pairs that sketches leave. Those are picked out by a bitmap of ``ID_BITS`` bits over
+their ids, a fixed size too, so that texts are not shuffled; what else the bitmap lets through finds no pair.
+``docs`` should therefore be a table.
 
 Documents that share a prefix shingle are compared exactly, in full sets. Up to ``hubs`` of
 them are all compared with each other. Of more, all are compared that are not yet in one group, so that the groups
@@ -36,7 +42,7 @@ which is as similar as its most similar text. Other columns are kept out.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -67,6 +73,15 @@ def shingle_set(text: str | None, shingle_words: int = 5) -> np.ndarray:
     return np.unique(np.fromiter(digests, dtype=np.uint64, count=len(starts)).view(np.int64))
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Words of 64 bits: parities of a set over a power of two of cells, at least two cells per shingle."""
+    cells = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    used, counts = np.unique(shingles & (cells - 1), return_counts=True)
+    odd = np.zeros(cells, dtype=np.uint8)
+    odd[used] = counts & 1
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     """id, text of every row that has an id."""
     return docs.where("doc_id is not null").select(F.col("doc_id").alias("id"), whole_text().alias("text"))
@@ -88,21 +103,41 @@ def id_bitmap(ids: DataFrame) -> np.ndarray:
     return table
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, shingle_words: int = 5) -> DataFrame:
-    """id, shingles of every row that has a word and an id of ``ids``; few others come with them."""
+def _made_of_sets(
+    docs: DataFrame, ids: DataFrame, shingle_words: int, columns: str, made: Callable[[np.ndarray], tuple]
+) -> DataFrame:
+    """id and ``columns`` of every row that has a word and an id of ``ids``; few others come with them.
+
+    ``made`` returns the values of ``columns`` for the set of a row.
+    """
     bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
+    names = [column.split()[0] for column in columns.split(", ")]
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             bit = frame.pop("bit").to_numpy()
             frame = frame[(bitmap.value[bit >> 6] >> (bit & 63)) & 1 == 1]
-            sets = [shingle_set(text, shingle_words) for text in frame["text"]]
-            shingles = pd.Series(sets, index=frame.index, dtype=object)
-            yield pd.DataFrame({"id": frame["id"], "shingles": shingles})[[len(s) > 0 for s in sets]]
+            found = []
+            for key, text in zip(frame["id"], frame["text"]):
+                if len(shingles := shingle_set(text, shingle_words)):
+                    found.append((key, *made(shingles)))
+            yield pd.DataFrame(found, columns=["id", *names])
 
     rows = _texts(docs).withColumn("bit", _id_bit("id"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(batches, f"id {kind}, shingles array<bigint>")
+    return rows.mapInPandas(batches, f"id {kind}, {columns}")
+
+
+def shingle_sets(docs: DataFrame, ids: DataFrame, shingle_words: int = 5) -> DataFrame:
+    """id, shingles of every row that has a word and an id of ``ids``; few others come with them."""
+    return _made_of_sets(docs, ids, shingle_words, "shingles array<bigint>", lambda shingles: (shingles,))
+
+
+def sketches(docs: DataFrame, ids: DataFrame, shingle_words: int = 5) -> DataFrame:
+    """id, size, sketch of the same rows."""
+    return _made_of_sets(
+        docs, ids, shingle_words, "size int, sketch array<bigint>", lambda shingles: (len(shingles), sketch(shingles))
+    )
 
 
 def cell_counts(docs: DataFrame, shingle_words: int = 5) -> np.ndarray:
@@ -175,21 +210,55 @@ def shared_prefixes(docs: DataFrame, similarity: float, shingle_words: int = 5)
     return counted.where("n > 1").drop("bucket")
 
 
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id"))
+
+
+def _of_both(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """``pairs`` with the columns of ``table`` for the ids a and b, named a_ and b_."""
+    for side in ("a", "b"):
+        names = [F.col(c).alias(side if c == "id" else f"{side}_{c}") for c in table.columns]
+        pairs = pairs.join(table.select(*names), side)
+    return pairs
+
+
+def differing_bits(a: str, b: str) -> Column:
+    """Bits in which two sketches differ, the longer one folded to the length of the other."""
+    length = F.least(F.size(a), F.size(b))
+
+    def folded(name: str, word: Column) -> Column:
+        places = F.sequence(word, F.size(name) - 1, length)
+        return F.aggregate(places, F.lit(0).cast("bigint"), lambda bits, i: bits.bitwiseXOR(F.get(F.col(name), i)))
+
+    words = F.transform(
+        F.sequence(F.lit(0), length - 1), lambda w: F.bit_count(folded(a, w).bitwiseXOR(folded(b, w)))
+    )
+    return F.aggregate(words, F.lit(0), lambda total, n: total + n)
+
+
+def possible(
+    pairs: DataFrame, docs: DataFrame, scratch: Scratch, similarity: float, shingle_words: int
+) -> DataFrame:
+    """The pairs (a, b) of ids that their sketches allow to reach the similarity."""
+    drawn = scratch.table(sketches(docs, _ids(pairs), shingle_words), "shingle-sketches")
+    allowed = (F.col("a_size") + F.col("b_size")) * F.lit(1 - similarity) + F.lit(1e-6)
+    near = differing_bits("a_sketch", "b_sketch") * F.lit(1 + similarity) <= allowed
+    return _of_both(pairs, drawn).where(near).select("a", "b").distinct()
+
+
 def similar(
     pairs: DataFrame, docs: DataFrame, scratch: Scratch, similarity: float, shingle_words: int
 ) -> DataFrame:
     """The pairs (a, b) of ids whose sets reach the similarity.
 
-    ``pairs`` is a table, as are the sets of its documents: both have a known size, so Spark broadcasts
-    them just if they are small, and never makes or shuffles the sets of documents without a pair.
+    ``pairs`` is a table, as are the sketches of its documents and the sets of those left: all have a known
+    size, so Spark broadcasts them just if they are small, and never makes or shuffles other sets.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    wanted = scratch.table(shingle_sets(docs, ids, shingle_words), "shingle-wanted")
-    both = pairs.join(
-        wanted.select(F.col("id").alias("a"), F.col("shingles").alias("a_set")), "a"
-    ).join(wanted.select(F.col("id").alias("b"), F.col("shingles").alias("b_set")), "b")
-    shared = F.size(F.array_intersect("a_set", "b_set"))
-    every = F.size("a_set") + F.size("b_set") - shared
+    pairs = scratch.table(possible(pairs, docs, scratch, similarity, shingle_words), "shingle-possible")
+    wanted = scratch.table(shingle_sets(docs, _ids(pairs), shingle_words), "shingle-wanted")
+    both = _of_both(pairs, wanted)
+    shared = F.size(F.array_intersect("a_shingles", "b_shingles"))
+    every = F.size("a_shingles") + F.size("b_shingles") - shared
     return both.where(shared >= similarity * every - F.lit(1e-9)).select("a", "b").distinct()
 
 
