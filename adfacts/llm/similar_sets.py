@@ -98,8 +98,8 @@ def id_bitmap(ids: DataFrame) -> np.ndarray:
         F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("mask"),
     )
     table = np.zeros(ID_BITS // 64, dtype=np.int64)
-    for row in bits.groupBy("word").agg(F.bit_or("mask").alias("mask")).toLocalIterator():
-        table[row["word"]] = row["mask"]
+    words = bits.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()  # one job, 16 bytes a word
+    table[words["word"].to_numpy()] = words["mask"].to_numpy()
     return table
 
 
@@ -153,8 +153,8 @@ def cell_counts(docs: DataFrame, shingle_words: int = 5) -> np.ndarray:
 
     counted = _texts(docs).select("text").mapInPandas(batches, "cell int, n bigint")
     table = np.zeros(CELLS, dtype=np.int64)
-    for row in counted.groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():  # at most CELLS rows
-        table[row["cell"]] = row["n"]
+    cells = counted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most CELLS rows
+    table[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     return table
 
 

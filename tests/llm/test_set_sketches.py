@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from adfacts.llm import similar_sets
 from adfacts.llm.common import Scratch
@@ -50,3 +51,24 @@ def test_full_sets_are_made_of_similar_documents_only(spark, monkeypatch):
         got = {(r.a, r.b) for r in similar_sets.similar_links(docs, scratch).collect()}
     assert got == plain_links(rows) == {(3, 20), (7, 30)}
     assert asked == {3, 20, 7, 30}
+
+
+def test_id_bitmap_takes_few_jobs(spark):
+    """Not one for each partition, of which there may be thousands."""
+    ids = spark.range(3000).select(F.col("id"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    context = spark.sparkContext
+    context.setJobGroup("id-bitmap", "id-bitmap")
+    try:
+        table = similar_sets.id_bitmap(ids)
+        jobs = context.statusTracker().getJobIdsForGroup("id-bitmap")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        context.setLocalProperty("spark.jobGroup.id", None)
+    bits = {r["bit"] for r in ids.select(similar_sets._id_bit("id").alias("bit")).collect()}
+    assert {64 * w + i for w in np.flatnonzero(table) for i in range(64) if int(table[w]) >> i & 1} == bits
+    assert not similar_sets.id_bitmap(ids.limit(0)).any()
+    assert len(jobs) < 10
