@@ -8,6 +8,7 @@ import random
 import pytest
 
 from adfacts import session
+from adfacts.operators import metrics
 from adfacts.operators.series import SkewPolicy
 from adfacts.plans import forecast, jobs, publish
 from adfacts.plans.config import JobConfig
@@ -186,3 +187,29 @@ def test_command_line(spark, config, trained, tmp_path, capsys):
          "--model", str(tmp_path / "m" / "revenue_forecast"), "--format", "csv"]
     )
     assert list((tmp_path / "p").glob("part-*.csv"))
+
+
+def test_wide_stages_are_compiled_and_rows_are_scored_once(spark, config, monkeypatch):
+    """Methods beyond the JVM's limit are interpreted; the validation part was scored twice."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit, None)
+    limits, measured = {}, []
+
+    def seen(df, label):
+        limits[label] = spark.conf.get(limit)
+        return session.written(df, label)
+
+    def checked(df, *columns):
+        measured.extend(df.inputFiles())
+        return metrics.checked_metrics(df, *columns)
+
+    monkeypatch.setattr(jobs, "written", seen)
+    monkeypatch.setattr(forecast, "checked_metrics", checked)
+    with session.Scratch(spark):
+        result = jobs.run_training(spark, config.export_paths, config)
+        rows = {r["is_validation"]: r for r in result.metrics_by_split.collect()}
+    assert set(limits) == {"unified", "features"} and set(limits.values()) == {"8000"}
+    assert spark.conf.get(limit, None) == before
+    assert measured and all("scored-" in file for file in measured)
+    assert result.training.rmse == pytest.approx(rows[True]["rmse"])
+    assert result.training.validation_rows == rows[True]["row_count"]
