@@ -210,7 +210,7 @@ def anchored(
     hashes = written(hashes, "decontamination-hashes")
     n = hashes.count()
     bucket = F.pmod("hash", F.lit(max(1, n // HASHES_OF_BUCKET)).cast("bigint"))
-    # Three arrays per bucket take a quarter of the memory of one row per anchor.
+    # A row of three arrays per bucket, not one per anchor: what is broadcast stays small.
     buckets = written(
         hashes.groupBy(bucket.alias("bucket"))
         .agg(F.collect_list(F.struct("hash", "before", "after")).alias("e"))

@@ -55,7 +55,7 @@ def test_looked_up_anchors_find_the_same_windows(tables):
 
 
 def test_a_long_document_is_not_sent_once_per_word(spark):
-    """20,000 words: rows that held all of them for each word took 6 GB."""
+    """20,000 words, each of which was sent with all of them."""
     item = prose(30, 1)
     docs = spark.createDataFrame([(1, " ".join([*prose(15_000, 2), *item, *prose(5_000, 3)]))], SCHEMA)
     bench = spark.createDataFrame([(7, " ".join(item))], ITEMS)
@@ -80,3 +80,12 @@ def test_items_that_differ_in_their_id_alone_are_looked_for_once(spark, monkeypa
         assert sorted(r[1] for r in found(decontamination.contamination(docs, bench))) == list(range(copies))
         windows.append(rows["decontamination-windows"])
     assert windows[0] == windows[1]
+
+
+def test_stage_of_the_pipeline_with_many_anchors(spark):
+    """The pipeline's stage keeps clean long documents, and asks for no id of an item."""
+    item = prose(30, 1)
+    docs = [(1, " ".join([*prose(15_000, 2), *item])), (2, " ".join(prose(15_000, 3))), (None, None)]
+    bench = spark.createDataFrame([(i, " ".join(item)) for i in range(40)], ITEMS)
+    kept = decontamination.without_contaminated(spark.createDataFrame(docs, SCHEMA), bench, broadcast_rows=0)
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2]
