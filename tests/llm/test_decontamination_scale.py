@@ -43,6 +43,15 @@ def found(df) -> list[tuple]:
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+@pytest.fixture()
+def shuffled(spark):
+    """Nothing is broadcast unless the code asks for it, as with large tables."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.unset(name)
+
+
 def test_looked_up_anchors_find_the_same_windows(tables):
     expected = found(decontamination.contaminated_windows(*tables))
     assert len({row[2] for row in expected}) >= 9  # most items, copies among them
@@ -54,7 +63,7 @@ def test_looked_up_anchors_find_the_same_windows(tables):
     )
 
 
-def test_a_long_document_is_not_sent_once_per_word(spark):
+def test_a_long_document_is_not_sent_once_per_word(spark, shuffled):
     """20,000 words, each of which was sent with all of them."""
     item = prose(30, 1)
     docs = spark.createDataFrame([(1, " ".join([*prose(15_000, 2), *item, *prose(5_000, 3)]))], SCHEMA)
@@ -82,7 +91,7 @@ def test_items_that_differ_in_their_id_alone_are_looked_for_once(spark, monkeypa
     assert windows[0] == windows[1]
 
 
-def test_stage_of_the_pipeline_with_many_anchors(spark):
+def test_stage_of_the_pipeline_with_many_anchors(spark, shuffled):
     """The pipeline's stage keeps clean long documents, and asks for no id of an item."""
     item = prose(30, 1)
     docs = [(1, " ".join([*prose(15_000, 2), *item])), (2, " ".join(prose(15_000, 3))), (None, None)]
